@@ -8,6 +8,7 @@ calendar, so their size is known when the query is planned.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,10 @@ from ledgerloom.functions.keys import LEDGER_RATE, MONEY, PROCESSOR_RATE, ci_equ
 from ledgerloom.functions.scalars import CHANNEL_A, CREDIT, yyyymmdd
 from ledgerloom.operators import enrich as E
 from ledgerloom.operators import processor as R
+from ledgerloom.operators.incremental import within_days
 from ledgerloom.operators.relational import union
 from ledgerloom.plans import journals as J
-from ledgerloom.sources.scans import scan_business_day, statement_file_name
+from ledgerloom.sources.scans import scan_business_day, scan_date_range, statement_file_name
 from ledgerloom.sources.tables import StarTables
 
 # Inline dimensions.
@@ -292,6 +294,19 @@ class Roles(StarTables):
     def recon_c(self) -> DataFrame:
         return J.reconciled_c(self.ledger_days, self.rows_c)
 
+    def for_days(self, first: dt.date, last: dt.date) -> Roles:
+        """The same roles for the business dates ``first`` to ``last`` only.
+
+        Orders are first cut to a slightly wider range on the stored date, which
+        the Parquet reader can use; the exact cut is on the business date.
+        """
+        part = Roles(self.spark, self.data_dir)
+        near = dt.timedelta(days=4)
+        part.orders = scan_date_range(self.orders, "o_orderdate", between=(first - near, last + near))
+        for name in ("ledger_days", "rows_a", "rows_settlement", "rows_b", "rows_c"):
+            setattr(part, name, within_days(getattr(part, name), first, last))
+        return part
+
     # --- journals ----------------------------------------------------------
 
     @cached_property

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str], writers: int) -> DataFrame:
@@ -21,30 +22,38 @@ def _clustered(df: DataFrame, partition_by: Sequence[str], writers: int) -> Data
     return df.repartition(*keys)
 
 
-def append_history(
-    df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str], writers: int = 1
-) -> None:
-    """Append the listed columns to an accumulation table."""
-    part = df.select(*columns)
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """Columns, order and types of the target table, given as DDL.
+
+    A table keeps one type per column over its whole life; the type an
+    aggregate happens to have must not leak into some of its files.
+    """
+    target = StructType.fromDDL(schema)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
+
+
+def append_history(df: DataFrame, path: str, schema: str, partition_by: Sequence[str], writers: int = 1) -> None:
+    """Append to an accumulation table."""
+    part = conform(df, schema)
     _clustered(part, partition_by, writers).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def truncate_reload(
-    df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str], writers: int = 1
-) -> None:
+def truncate_reload(df: DataFrame, path: str, schema: str, partition_by: Sequence[str], writers: int = 1) -> None:
     """Clear the accumulation table and load it again."""
-    part = _clustered(df.select(*columns), partition_by, writers)
+    part = _clustered(conform(df, schema), partition_by, writers)
     writer = part.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def replace_batches(df: DataFrame, path: str, batch_keys: Sequence[str] = ("brand", "batchid"), writers: int = 1) -> None:
+def replace_batches(
+    df: DataFrame, path: str, schema: str, batch_keys: Sequence[str] = ("brand", "batchid"), writers: int = 1
+) -> None:
     """Replace exactly the batches present in ``df``; all other batches stay.
 
     Repeating the call with the same rows leaves the table as it was after the
     first, which is what makes a publish safe to retry.
     """
-    part = _clustered(df, batch_keys, writers)
+    part = _clustered(conform(df, schema), batch_keys, writers)
     writer = part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*batch_keys).parquet(path)
 
