@@ -113,9 +113,16 @@ def exceptions(df: DataFrame, require_no_fx: bool = False) -> DataFrame:
     return out.filter(F.col("fx_diff") == 0) if require_no_fx else out
 
 
-def numbered_exceptions(df: DataFrame, order: list, label: str, require_no_fx: bool = False) -> DataFrame:
+EXCEPTION_COLUMNS = [
+    "business_date", "company", "ledger_key", "proc_key", "ledger_currency", "proc_currency", "ledger_date", "fx_diff",
+    "other_diff",
+]
+
+
+def numbered_exceptions(df: DataFrame, label: str, require_no_fx: bool = False) -> DataFrame:
     """Exceptions numbered inside a business date and company."""
-    return row_identity(exceptions(df, require_no_fx), ["business_date", "company"], order, label)
+    rows = exceptions(df, require_no_fx).select(*EXCEPTION_COLUMNS)
+    return row_identity(rows, ["business_date", "company"], ["ledger_key", "proc_key"], label)
 
 
 def match_status(ledger_key: str = "ledger_key", proc_key: str = "proc_key") -> Column:

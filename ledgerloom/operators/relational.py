@@ -33,13 +33,29 @@ def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def row_identity(
-    df: DataFrame, within: Sequence[str], order: Sequence[Column | str], label: str,
+    df: DataFrame, within: Sequence[str], spread: Sequence[str], label: str,
     number: str = "exception_num", text: str = "exception_id",
 ) -> DataFrame:
-    """Number rows inside each ``within`` group and build a text id from the number."""
-    w = Window.partitionBy(*within).orderBy(*order)
-    out = df.withColumn(number, F.row_number().over(w))
-    return out.withColumn(text, F.concat(F.lit(label), F.col(number).cast("string")))
+    """Number rows inside each ``within`` group and build a text id from the number.
+
+    A group may hold a large share of all rows, so it is never numbered by one
+    task: its rows are spread over 256 ordered buckets by a hash of the
+    ``spread`` columns, numbered inside their bucket, and shifted by the row
+    count of the buckets before. Inside a bucket rows are ordered by all their
+    columns, so equal input gets equal numbers in every run, and the counting
+    side reads the very shuffle the numbering side does.
+    """
+    seed = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in spread])
+    bucket = [*within, "__bucket"]
+    rows = df.withColumn("__bucket", F.left(F.md5(seed), F.lit(2)))
+    inside = Window.partitionBy(*bucket).orderBy(*df.columns)
+    rows = rows.withColumn("__n", F.row_number().over(inside))
+    sizes = rows.groupBy(*bucket).agg(F.max("__n").cast("bigint").alias("__size"))
+    before = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select(*bucket, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))
+    out = rows.join(shifts, bucket).withColumn(number, F.col("__shift") + F.col("__n"))
+    out = out.withColumn(text, F.concat(F.lit(label), F.col(number).cast("string")))
+    return out.drop("__bucket", "__n", "__shift")
 
 
 # --- filters ---------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.aggregates import pivot_max
@@ -67,13 +67,18 @@ def match_rate(joined: DataFrame) -> DataFrame:
 
 
 def match_rate_chain(joined: DataFrame) -> DataFrame:
-    """The same counts as a chain of full joins of per-day counts onto the total."""
-    rows = joined.select("business_date", match_status().alias("status"))
+    """The same counts as a chain of full joins of per-day counts onto the total.
 
-    def counted(status: str, name: str) -> DataFrame:
-        return rows.filter(F.col("status") == status).groupBy("business_date").agg(F.count("*").alias(name))
+    The rows are counted once per day and status; the chain only reads those
+    few counts.
+    """
+    status = match_status().alias("status")
+    counts = joined.groupBy("business_date", status).agg(F.count("*").alias("n"))
+
+    def counted(wanted: str, name: str) -> DataFrame:
+        return counts.filter(F.col("status") == wanted).select("business_date", F.col("n").alias(name))
 
-    total = rows.groupBy("business_date").agg(F.count("*").alias("total"))
+    total = counts.groupBy("business_date").agg(F.sum("n").alias("total"))
     parts = [
         counted("processor only", "not_in_ledger"), counted("ledger only", "not_in_processor"),
         counted("matched", "matched"),
@@ -87,14 +92,17 @@ def latest_file_counts(
 ) -> DataFrame:
     """Per source: latest report date and rows of the file named for it, with the last run date.
 
-    The latest date per source is joined back to the rows, so all sources are
-    judged in one pass instead of one query each.
+    Rows are first counted per source, date and file, in one pass over all
+    sources; the latest date is then looked up among those counts.
     """
-    latest = sources.groupBy(key).agg(F.max(date).alias("latest"))
-    rows = sources.filter(F.col(date) > since).join(latest, key)
+    files = sources.groupBy(key, date, file_name).agg(F.count("*").alias("rows"))
+    latest = F.max(date).over(Window.partitionBy(key))
+    files = files.withColumn("latest", latest).filter(F.col(date) > since)
     stamps = [F.date_format("latest", p) for p in ("yyyy-MM-dd", "yyyyMMdd")]
     named = F.col(file_name).contains(stamps[0]) | F.col(file_name).contains(stamps[1])
-    counts = rows.filter(named).groupBy(key).agg(F.count("*").alias("n"), F.max(date).cast("date").alias("report_date"))
+    counts = files.filter(named).groupBy(key).agg(
+        F.sum("rows").alias("n"), F.max(date).cast("date").alias("report_date")
+    )
     runs = history.groupBy(key).agg(F.max("date_run").alias("latest_run"))
     return counts.join(runs, key)
 
@@ -120,12 +128,14 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def matched_summary(joined: DataFrame) -> DataFrame:
-    """Count and sums of rows with and without a ledger id, stacked."""
+    """Count and sums of rows with and without a ledger id, stacked; one pass over the rows."""
     has = F.col("ledger_key").isNotNull()
-    sums = [
-        F.count("ledger_key").alias("n"), F.sum("trans_usd").alias("trans_usd"),
-        F.sum("proc_gross_usd").alias("proc_gross_usd"),
-    ]
-    with_id = joined.filter(has).agg(*sums).withColumn("side", F.lit("with ledger id"))
-    without = joined.filter(~has).agg(*sums).withColumn("side", F.lit("without ledger id"))
-    return union([with_id, without])
+    measures = ["trans_usd", "proc_gross_usd"]
+    arms = []
+    sums = [F.count("ledger_key").alias("n")]
+    for side, test in (("with ledger id", has), ("without ledger id", ~has)):
+        tag = side.split()[0]
+        sums += [F.sum(F.when(test, F.col(m))).alias(f"{tag}_{m}") for m in measures]
+        n = F.col("n") if side == "with ledger id" else F.lit(0).cast("bigint")
+        arms.append(F.struct(F.lit(side).alias("side"), n.alias("n"), *[F.col(f"{tag}_{m}").alias(m) for m in measures]))
+    return joined.agg(*sums).select(F.inline(F.array(*arms)))

@@ -16,6 +16,7 @@ from ledgerloom.operators.joins import inner_join
 from ledgerloom.operators.match import exceptions
 from ledgerloom.operators.processor import route_row_types
 from ledgerloom.operators.relational import union
+from ledgerloom.plans import daily_close as D
 from ledgerloom.plans import journals as J
 from ledgerloom.queries.registry import query
 from ledgerloom.queries.scans import read_back
@@ -97,9 +98,45 @@ FROM (SELECT *, status = 'fail' AS failed,
         UNION ALL SELECT 'suspense', business_date, company, 'all', status FROM ({SUSPENSE_SQL}) AS s) AS g) AS h
 GROUP BY 1, 2""", dates="business_date")
 def control_gate_status(r):
-    days = r.ledger_days.select("business_date", "company").distinct()
-    gates = C.gate_results(r.all_lines, days, card_days(r), J.SUSPENSE_ACCOUNT)
-    return C.gate_status(gates)
+    lines = D.stage_lines(r.all_lines, scratch_path(r.spark, "lines"))
+    return C.gate_status(C.gate_results(lines, required_days(r), card_days(r), J.SUSPENSE_ACCOUNT))
+
+
+def required_days(r):
+    return r.ledger_days.select("business_date", "company").distinct()
+
+
+COMMON_NAMES = "checkbookid batchid trandate reference account debit credit distref uniqueid docamt distype brand merchant"
+
+
+@query("daily_close", f"""
+WITH z_balance AS ({BALANCE_SQL}),
+z_lines AS (
+  SELECT business_date, company, journal, checkbookid, batchid, trandate, reference, account, debit, credit, distref, uniqueid, docamt, distype, merchant FROM x_all
+  UNION ALL
+  SELECT b.business_date, b.company, b.journal, b.checkbookid, h.batchid, h.trandate, h.reference, '061-11045-000',
+    CASE WHEN value < 0 THEN -value ELSE 0 END, CASE WHEN value > 0 THEN value ELSE 0 END, b.company || ' BALANCE ENTRY', NULL, NULL, NULL, h.merchant
+  FROM z_balance AS b JOIN (SELECT business_date, company, journal, checkbookid, max(batchid) AS batchid, max(trandate) AS trandate,
+      max(reference) AS reference, max(merchant) AS merchant FROM x_all GROUP BY 1, 2, 3, 4) AS h
+    ON h.business_date = b.business_date AND h.company = b.company AND h.journal = b.journal AND h.checkbookid = b.checkbookid
+  WHERE status = 'needs balancing'),
+z_fail AS (
+  SELECT business_date, company FROM z_balance WHERE status = 'fail'
+  UNION SELECT business_date, company FROM z_lines WHERE account IS NULL OR account = '' OR account LIKE '%XX%'
+  UNION SELECT d.business_date, d.company FROM (SELECT DISTINCT business_date, company FROM x_days) AS d
+    WHERE d.business_date NOT IN (SELECT CAST(update_date AS DATE) FROM x_stmt_c)
+  UNION SELECT business_date, company FROM (SELECT DISTINCT business_date, company, credit, debit, account FROM z_lines
+      WHERE journal <> 'overpayment' AND account = '061-11045-000') AS u
+    GROUP BY 1, 2 HAVING abs(sum(debit) - sum(credit)) > 2500)
+SELECT checkbookid, batchid, trandate, reference, account, debit, credit, distref, uniqueid, docamt, distype, l.company AS brand, merchant
+FROM z_lines AS l LEFT JOIN z_fail AS f ON f.business_date = l.business_date AND f.company = l.company WHERE f.company IS NULL""",
+       money="debit credit docamt")
+def daily_close(r):
+    """Close all days twice into one common journal; the second run replaces the first."""
+    staging, common = scratch_path(r.spark, "staged"), scratch_path(r.spark, "common")
+    for _ in range(2):
+        D.close_days(r.all_lines, required_days(r), card_days(r), staging, common)
+    return read_back(r, common).select(*COMMON_NAMES.split())
 
 
 # --- publication -----------------------------------------------------------
@@ -109,7 +146,7 @@ def control_gate_status(r):
 SELECT {cols(' '.join(x for x in P.COMMON_COLUMNS if x not in ('cashrcpt', 'brand', 'merchant')))},
   CASE WHEN journal = 'a_cash' THEN cashrcpt END AS cashrcpt, company AS brand, merchant FROM x_all""", money="debit credit docamt")
 def publish_common_journal(r):
-    return P.common_journal(r.journals, J.MERCHANT_TAGS)
+    return P.common_journal({n: r.journal(n) for n in J.MERCHANT_TAGS}, J.MERCHANT_TAGS)
 
 
 BRAND = "SRC_LEDGER"
@@ -214,8 +251,7 @@ SALES_SQL = "(SELECT * FROM x_all WHERE journal IN ('a_sales', 'wallet', 'card')
 
 
 def sales_lines(r):
-    parts = [r.journals[j].withColumns({"journal": F.lit(j), "merchant": F.lit(J.MERCHANT_TAGS[j])}) for j in SALES]
-    return union(parts)
+    return r.tagged(*SALES)
 
 
 @query("report_suspense_by_merchant", f"SELECT merchant, sum(debit - credit) AS suspense FROM {SALES_SQL} WHERE account LIKE '%11045%' GROUP BY 1",
@@ -245,7 +281,7 @@ def report_revenue_by_merchant(r):
 SELECT business_date, sum(debit) AS debit, sum(credit) AS credit, sum(debit) - sum(credit) AS difference FROM x_journal_a
 GROUP BY 1 ORDER BY 4 DESC, 1""", money="debit credit difference", dates="business_date")
 def report_unbalanced_days(r):
-    return RP.unbalanced_days(r.journals["a_sales"])
+    return RP.unbalanced_days(r.journal("a_sales"))
 
 
 @query("report_match_rate", """

@@ -57,18 +57,18 @@ EXC = "business_date company ledger_key proc_key fx_diff other_diff"
 
 
 @query("recon_exceptions", f"""
-SELECT 'a' AS report, {cols(EXC)}, row_number() OVER (PARTITION BY business_date, company ORDER BY other_diff, ledger_key NULLS FIRST,
-  proc_key NULLS FIRST, ledger_currency NULLS FIRST, proc_currency NULLS FIRST, ledger_date NULLS FIRST) AS exception_num
+SELECT 'a' AS report, {cols(EXC)}, row_number() OVER (PARTITION BY business_date, company
+  ORDER BY left(md5(coalesce(ledger_key, '') || '|' || coalesce(proc_key, '')), 2), ledger_key NULLS FIRST, proc_key NULLS FIRST,
+  ledger_currency NULLS FIRST, proc_currency NULLS FIRST, ledger_date NULLS FIRST, fx_diff, other_diff) AS exception_num
 FROM x_rec_a WHERE fx_diff = 0 AND other_diff <> 0
 UNION ALL SELECT 'b', {cols(EXC)}, NULL FROM x_rec_b WHERE other_diff <> 0
 UNION ALL SELECT 'c', {cols(EXC)}, NULL FROM x_rec_c WHERE other_diff <> 0""", money="fx_diff other_diff", dates="business_date")
 def recon_exceptions(r):
-    order = ["other_diff", "ledger_key", "proc_key", "ledger_currency", "proc_currency", "ledger_date"]
-    numbered = M.numbered_exceptions(r.recon_a, order, "LEDGER VERSUS PROCESSOR A EXCEPTION# - ", require_no_fx=True)
+    numbered = M.numbered_exceptions(r.recon_a, "LEDGER VERSUS PROCESSOR A EXCEPTION# - ", require_no_fx=True)
     none = F.lit(None).cast("bigint")
     return union(
         [
-            numbered.select(F.lit("a").alias("report"), *EXC.split(), c("exception_num").cast("bigint").alias("exception_num")),
+            numbered.select(F.lit("a").alias("report"), *EXC.split(), "exception_num"),
             M.exceptions(r.recon_b).select(F.lit("b").alias("report"), *EXC.split(), none.alias("exception_num")),
             M.exceptions(r.recon_c).select(F.lit("c").alias("report"), *EXC.split(), none.alias("exception_num")),
         ]
@@ -200,8 +200,8 @@ def journal_header(r):
 SELECT {cols(LINE)} FROM x_journal_b WHERE table_name = 'cash' UNION ALL SELECT {cols(LINE)} FROM x_journal_c WHERE table_name = 'receivable'""",
        money="debit credit", dates="business_date")
 def journal_cash_plug(r):
-    wallet = r.journals["wallet"].filter(c("table_name") == "cash")
-    card = r.journals["card"].filter(c("table_name") == "receivable")
+    wallet = r.journal("wallet").filter(c("table_name") == "cash")
+    card = r.journal("card").filter(c("table_name") == "receivable")
     return union([wallet.select(*LINE.split()), card.select(*LINE.split())])
 
 
@@ -213,7 +213,7 @@ DOC = "business_date company account distref docamt distype"
     for n, t, receipt in (("a_sales", "a", "NULL"), ("wallet", "b", "cashrcpt"), ("card", "c", "cashrcpt"), ("a_cash", "cash", "cashrcpt"))),
        money="docamt", dates="business_date")
 def journal_docamt_distype(r):
-    parts = {n: r.journals[n].withColumn("journal", F.lit(n)) for n in ("a_sales", "wallet", "card", "a_cash")}
+    parts = {n: r.journal(n).withColumn("journal", F.lit(n)) for n in ("a_sales", "wallet", "card", "a_cash")}
     parts["a_sales"] = parts["a_sales"].withColumn("cashrcpt", F.lit(None).cast("string"))
     return union([df.select("journal", *DOC.split(), "cashrcpt") for df in parts.values()])
 
@@ -225,7 +225,7 @@ RECEIPT = FULL + " cashrcpt"
 def journal_query(key: str, name: str, table: str, columns: str) -> None:
     @query(key, f"SELECT {cols(columns)} FROM {table}", money="debit credit docamt", dates="business_date")
     def build(r):
-        return r.journals[name].select(*columns.split())
+        return r.journal(name).select(*columns.split())
 
 
 journal_query("journal_settlement_cash", "a_cash", "x_journal_cash", RECEIPT)

@@ -69,24 +69,20 @@ SELECT checkbookid, batchid, trantype, trandate, srcdoc, currid, reference, acco
   uniqueid, docamt, CAST(NULL AS VARCHAR) AS cashrcpt, distype, company AS brand, 'Overpayment_JE' AS merchant
 FROM x_journal_over""", money="debit credit docamt")
 def project_journal_shape(r):
-    return P.journal_shape(r.journals["overpayment"], "Overpayment_JE", keep_receipt=False)
+    return P.journal_shape(r.journal("overpayment"), "Overpayment_JE", keep_receipt=False)
 
 
 @query("project_row_identity", """
-SELECT business_date, company, ledger_key, other_diff, CAST(n AS BIGINT) AS exception_num,
-  'LEDGER VERSUS PROCESSOR EXCEPTION# - ' || CAST(n AS VARCHAR) AS exception_id
-FROM (SELECT *, row_number() OVER (PARTITION BY business_date, company ORDER BY other_diff, ledger_key NULLS FIRST,
-        proc_key NULLS FIRST, proc_currency NULLS FIRST, ledger_date NULLS FIRST, ledger_currency NULLS FIRST) AS n
-      FROM x_rec_a WHERE other_diff <> 0) AS e""", money="other_diff", dates="business_date")
+SELECT business_date, company, ledger_key, other_diff, n AS exception_num, 'LEDGER VERSUS PROCESSOR EXCEPTION# - ' || CAST(n AS VARCHAR) AS exception_id
+FROM (SELECT *, row_number() OVER (PARTITION BY business_date, company ORDER BY left(md5(coalesce(ledger_key, '') || '|' || coalesce(proc_key, '')), 2),
+        ledger_key NULLS FIRST, proc_key NULLS FIRST, ledger_currency NULLS FIRST, proc_currency NULLS FIRST, ledger_date NULLS FIRST,
+        fx_diff, other_diff) AS n FROM x_rec_a WHERE other_diff <> 0) AS e""", money="other_diff", dates="business_date")
 def project_row_identity(r):
-    order = ["other_diff", "ledger_key", "proc_key", "proc_currency", "ledger_date", "ledger_currency"]
+    rows = M.exceptions(r.recon_a).select(*M.EXCEPTION_COLUMNS)
     out = L.row_identity(
-        M.exceptions(r.recon_a), ["business_date", "company"], order, "LEDGER VERSUS PROCESSOR EXCEPTION# - "
-    )
-    return out.select(
-        "business_date", "company", "ledger_key", "other_diff", c("exception_num").cast("bigint").alias("exception_num"),
-        "exception_id",
+        rows, ["business_date", "company"], ["ledger_key", "proc_key"], "LEDGER VERSUS PROCESSOR EXCEPTION# - "
     )
+    return out.select("business_date", "company", "ledger_key", "other_diff", "exception_num", "exception_id")
 
 
 # --- filters ---------------------------------------------------------------
@@ -325,7 +321,7 @@ def agg_count_filtered(r):
 SELECT business_date, company, checkbookid, sum(debit) AS debit, sum(credit) AS credit, sum(debit) - sum(credit) AS docamt
 FROM x_journal_b WHERE starts_with(distref, 'LMX1 CASH') GROUP BY 1, 2, 3""", money="debit credit docamt", dates="business_date")
 def agg_debit_credit_totals(r):
-    return A.debit_credit_totals(r.journals["wallet"], ["business_date", "company", "checkbookid"], "LMX1 CASH")
+    return A.debit_credit_totals(r.journal("wallet"), ["business_date", "company", "checkbookid"], "LMX1 CASH")
 
 
 @query("agg_sum_difference", """
@@ -383,13 +379,13 @@ UNION_SQL = "SELECT credit, debit, account FROM x_journal_c UNION{all} SELECT cr
 
 @query("set_union_distinct", UNION_SQL.format(all=""), money="credit debit")
 def set_union_distinct(r):
-    parts = [r.journals[j].select("credit", "debit", "account") for j in ("card", "a_cash")]
+    parts = [r.journal(j).select("credit", "debit", "account") for j in ("card", "a_cash")]
     return L.union(parts, distinct=True)
 
 
 @query("set_union_all", UNION_SQL.format(all=" ALL"), money="credit debit")
 def set_union_all(r):
-    return L.union([r.journals[j].select("credit", "debit", "account") for j in ("card", "a_cash")])
+    return L.union([r.journal(j).select("credit", "debit", "account") for j in ("card", "a_cash")])
 
 
 # --- scalars ---------------------------------------------------------------

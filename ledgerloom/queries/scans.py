@@ -13,6 +13,8 @@ from ledgerloom.session import scratch_path
 from ledgerloom.sources import scans, sinks
 from ledgerloom.sources.roles import BANK_MID
 
+c = F.col
+
 
 @query("scan_filter", """
 SELECT order_key, l_linenumber, company, type, processing_currency, processing_amount FROM x_lines
@@ -56,7 +58,7 @@ FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2""",
 def scan_business_day(r):
     rows = scans.scan_business_day(r.events, "ts", "event_type", cutoff_channel="Purchase")
     return rows.groupBy("business_date", "event_type").agg(
-        F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(15,2)")).alias("amount")
+        F.count("*").alias("n"), F.sum(c("value").cast("decimal(15,2)")).alias("amount")
     )
 
 
@@ -65,7 +67,7 @@ SELECT event_id, event_type, CAST(value AS DECIMAL(15,2)) AS amount FROM events
        money="amount")
 def scan_calendar_day(r):
     rows = scans.scan_calendar_day(r.events, dt.date(2024, 1, 5), "ts")
-    return rows.select("event_id", "event_type", F.col("value").cast("decimal(15,2)").alias("amount"))
+    return rows.select("event_id", "event_type", c("value").cast("decimal(15,2)").alias("amount"))
 
 
 @query("scan_date_range", """
@@ -88,7 +90,7 @@ FROM x_stmt_c WHERE status = 'APPROVED' GROUP BY 1, 2""",
        money="amount", dates="business_date")
 def scan_approved_update_date(r):
     rows = scans.scan_approved(r.statement_c, "update_date", "status")
-    value = F.col("processing_value").try_cast("decimal(15,2)")
+    value = c("processing_value").try_cast("decimal(15,2)")
     return rows.groupBy("business_date", "company").agg(F.count("*").alias("n"), F.sum(value).alias("amount"))
 
 
@@ -96,7 +98,7 @@ HISTORY_SQL = """
 SELECT strftime(business_date, '%Y-%m') AS business_month, business_date, company, settled_by, sum(revenue_usd) AS revenue_usd
 FROM x_days GROUP BY 1, 2, 3, 4"""
 HISTORY_TABLE = "business_date DATE, company STRING, settled_by STRING, revenue_usd DECIMAL(25,3), business_month STRING"
-COMMON_TABLE = "brand STRING, batchid STRING, distref STRING, amount DECIMAL(25,3), version STRING"
+COMMON_TABLE = "brand STRING, batchid STRING, distref STRING, amount DECIMAL(25,3), version STRING, batch_month STRING"
 
 
 def daily_revenue(r):
@@ -122,7 +124,7 @@ def sink_append_history(r):
     path = scratch_path(r.spark, "history")
     daily = daily_revenue(r)
     for company in ("LMX1", "LBR2"):
-        part = daily.filter(F.col("company") == company)
+        part = daily.filter(c("company") == company)
         sinks.append_history(part, path, HISTORY_TABLE, ["business_month"])
     return read_back(r, path)
 
@@ -140,20 +142,23 @@ def sink_truncate_reload(r):
 @query("sink_replace_batch", """
 SELECT company AS brand, 'ACL_' || strftime(business_date, '%m%d%Y') AS batchid, company || ' ' || settled_by AS distref,
   CASE WHEN company = 'LMX1' THEN 2 ELSE 1 END * sum(revenue_usd) AS amount,
-  CASE WHEN company = 'LMX1' THEN 'second' ELSE 'first' END AS version
+  CASE WHEN company = 'LMX1' THEN 'second' ELSE 'first' END AS version, strftime(business_date, '%Y-%m') AS batch_month
 FROM x_days GROUP BY business_date, company, settled_by""", money="amount")
 def sink_replace_batch(r):
     """All batches are published, then one brand's batches are replaced, twice."""
-    path = scratch_path(r.spark, "common")
-    first = daily_revenue(r).select(
-        F.col("company").alias("brand"),
+    path, daily = scratch_path(r.spark, "common"), scratch_path(r.spark, "daily")
+    sinks.append_history(daily_revenue(r), daily, HISTORY_TABLE, ["business_month"])
+    first = read_back(r, daily).select(
+        c("company").alias("brand"),
         F.concat(F.lit("ACL_"), F.date_format("business_date", "MMddyyyy")).alias("batchid"),
         F.concat("company", F.lit(" "), "settled_by").alias("distref"),
-        F.col("revenue_usd").alias("amount"),
+        c("revenue_usd").alias("amount"),
         F.lit("first").alias("version"),
+        c("business_month").alias("batch_month"),
     )
-    second = first.filter(F.col("brand") == "LMX1").withColumns({"amount": F.col("amount") * 2, "version": F.lit("second")})
-    sinks.replace_batches(first, path, COMMON_TABLE)
+    second = first.filter(c("brand") == "LMX1").withColumns({"amount": c("amount") * 2, "version": F.lit("second")})
+    by_month = {"schema": COMMON_TABLE, "partition_by": ["brand", "batch_month"]}
+    sinks.replace_batches(first, path, **by_month)
     for _ in range(2):
-        sinks.replace_batches(second, path, COMMON_TABLE)
+        sinks.replace_batches(second, path, **by_month)
     return read_back(r, path)

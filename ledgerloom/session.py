@@ -26,12 +26,16 @@ ADAPTIVE = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
+# Call sites of column functions are not recorded: plans here have thousands of
+# expressions, and recording costs more than building them.
+BUILD = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "ledgerloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTICS, **ADAPTIVE, **conf}.items():
+    for key, value in {**SEMANTICS, **ADAPTIVE, **BUILD, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

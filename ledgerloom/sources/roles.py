@@ -309,21 +309,28 @@ class Roles(StarTables):
 
     # --- journals ----------------------------------------------------------
 
-    @cached_property
-    def journals(self) -> dict[str, DataFrame]:
-        return {
-            "a_cash": J.journal_cash(self.rows_settlement, RUN_STAMP_LONG),
-            "wallet": J.journal_b(self.ledger_days, self.rows_b, self.matrix, RUN_STAMP),
-            "a_sales": J.journal_a(self.ledger_days, self.rows_a, self.matrix),
-            "card": J.journal_c(self.ledger_days, self.rows_c, self.matrix, RUN_STAMP),
-            "overpayment": J.journal_overpayment(self.ledger_days, self.matrix),
-        }
+    def journal(self, name: str) -> DataFrame:
+        """One journal by name, planned on first use."""
+        built = self.__dict__.setdefault("_journals", {})
+        if name not in built:
+            built[name] = {
+                "a_cash": lambda: J.journal_cash(self.rows_settlement, RUN_STAMP_LONG),
+                "wallet": lambda: J.journal_b(self.ledger_days, self.rows_b, self.matrix, RUN_STAMP),
+                "a_sales": lambda: J.journal_a(self.ledger_days, self.rows_a, self.matrix),
+                "card": lambda: J.journal_c(self.ledger_days, self.rows_c, self.matrix, RUN_STAMP),
+                "overpayment": lambda: J.journal_overpayment(self.ledger_days, self.matrix),
+            }[name]()
+        return built[name]
+
+    def tagged(self, *names: str) -> DataFrame:
+        """Lines of the named journals with journal and merchant names."""
+        return union(
+            [
+                self.journal(n).withColumns({"journal": F.lit(n), "merchant": F.lit(J.MERCHANT_TAGS[n])})
+                for n in names
+            ]
+        )
 
     @cached_property
     def all_lines(self) -> DataFrame:
-        """The lines of all journals with journal and merchant names."""
-        parts = [
-            df.withColumns({"journal": F.lit(name), "merchant": F.lit(J.MERCHANT_TAGS[name])})
-            for name, df in self.journals.items()
-        ]
-        return union(parts)
+        return self.tagged(*J.MERCHANT_TAGS)

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,16 +47,37 @@ def truncate_reload(df: DataFrame, path: str, schema: str, partition_by: Sequenc
 
 
 def replace_batches(
-    df: DataFrame, path: str, schema: str, batch_keys: Sequence[str] = ("brand", "batchid"), writers: int = 1
+    df: DataFrame, path: str, schema: str, batch_keys: Sequence[str] = ("brand", "batchid"),
+    partition_by: Sequence[str] | None = None, writers: int = 1,
 ) -> None:
     """Replace exactly the batches present in ``df``; all other batches stay.
 
     Repeating the call with the same rows leaves the table as it was after the
     first, which is what makes a publish safe to retry.
+
+    The table is partitioned by the batch itself, or, where a batch is only a
+    few lines, by the coarser ``partition_by``. In that case the partitions the
+    new batches fall in are rewritten: their other batches are read back and
+    written together with the new ones, so files stay large and few.
     """
-    part = _clustered(conform(df, schema), batch_keys, writers)
-    writer = part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*batch_keys).parquet(path)
+    new = conform(df, schema)
+    parts = list(partition_by or batch_keys)
+    if partition_by is not None and table_exists(df.sparkSession, path):
+        keys = new.select(*dict.fromkeys([*parts, *batch_keys])).distinct()
+        old = conform(df.sparkSession.read.schema(schema).parquet(path), schema)
+        old = old.join(keys.select(*parts).distinct(), parts, "left_semi")
+        new = old.join(keys, list(batch_keys), "left_anti").select(*new.columns).unionByName(new)
+    writer = _clustered(new, parts, writers).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).parquet(path)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything has been written to ``path`` yet."""
+    try:
+        spark.read.format("binaryFile").load(path).schema  # resolving the path is enough
+    except AnalysisException:
+        return False
+    return True
 
 
 def replaced_batches(old: DataFrame, new: DataFrame, batch_keys: Sequence[str] = ("brand", "batchid")) -> DataFrame:
