@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.keys import MONEY, ci_contains, ci_equals, ci_in, col
+from ledgerloom.functions.keys import MONEY, ci_contains, ci_equals, ci_in, ci_key, col
 
 
 def first_non_null(*columns: Column | str) -> Column:
@@ -46,12 +46,11 @@ def business_date(ts: Column | str, channel: Column | str, cutoff_channel: str,
     """Day a transaction belongs to.
 
     The cut-off channel closes at ``cutoff_hour``; every other channel uses the
-    calendar day. A NULL channel belongs to no day.
+    calendar day. Rows of no channel belong to no day; the scans drop them.
     """
     ts = col(ts)
     shift = F.make_interval(hours=F.lit(24 - cutoff_hour))
-    is_cut = ci_equals(channel, cutoff_channel)
-    return F.when(is_cut, F.to_date(ts + shift)).when(~is_cut, F.to_date(ts))
+    return F.to_date(F.when(ci_equals(channel, cutoff_channel), ts + shift).otherwise(ts))
 
 
 # --- ledger classification -------------------------------------------------
@@ -104,14 +103,18 @@ def business_line(
 def settled_by(
     processor: Column | str, txn_id: Column | str, currency: Column | str, home_currency: str = "MXN"
 ) -> Column:
-    routed = col(processor).isNotNull() & ~ci_in(processor, ["NULL", CREDIT])
-    home = ci_equals(currency, home_currency)
+    """Settlement channel.
+
+    The processor is tested once per value class, so the expression stays small
+    where a filter on the channel is pushed through it.
+    """
+    key, home = ci_key(processor), ci_equals(currency, home_currency)
     return (
-        F.when(ci_equals(processor, CHANNEL_B), CHANNEL_B)
-        .when(ci_equals(processor, CHANNEL_A), CHANNEL_A)
-        .when(ci_contains(txn_id, MANUAL_MARK), CHANNEL_A)
-        .when(~home & routed, CHANNEL_A)
-        .when(home & routed, CHANNEL_C)
+        F.when(key == CHANNEL_B.upper(), CHANNEL_B)
+        .when((key == CHANNEL_A.upper()) | ci_contains(txn_id, MANUAL_MARK), CHANNEL_A)
+        .when(key.isNull() | key.isin("NULL", CREDIT.upper()), col(processor))
+        .when(home, CHANNEL_C)
+        .when(~home, CHANNEL_A)
         .otherwise(col(processor))
     )
 

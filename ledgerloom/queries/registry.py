@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.queries.ctes import compose
-from ledgerloom.session import SEMANTICS
+from ledgerloom.session import CODEGEN, SEMANTICS
 from ledgerloom.sources.roles import Roles
 
 
@@ -22,7 +22,7 @@ class Query:
     dates: tuple[str, ...]
 
     def run(self, spark: SparkSession, data_dir: str) -> DataFrame:
-        for name, value in SEMANTICS.items():
+        for name, value in {**SEMANTICS, **CODEGEN}.items():
             spark.conf.set(name, value)
         out = self.build(Roles(spark, data_dir))
         shown = {c: F.col(c).cast("double") for c in self.money}

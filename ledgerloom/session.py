@@ -26,6 +26,10 @@ ADAPTIVE = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
+# A generated method above 8000 bytes is never compiled by the JVM's JIT; above
+# this limit Spark evaluates the stage operator by operator in smaller methods.
+CODEGEN = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 # Call sites of column functions are not recorded: plans here have thousands of
 # expressions, and recording costs more than building them.
 BUILD = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
@@ -35,7 +39,7 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTICS, **ADAPTIVE, **BUILD, **conf}.items():
+    for key, value in {**SEMANTICS, **ADAPTIVE, **CODEGEN, **BUILD, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -33,6 +33,10 @@ LINES = ["Add On", "Cust Deposit", "Domain", "Hosting", "Professional Services"]
 EVENT_CODES = [
     "T0006", "T0006", "T0007", "T1107", "T1106", "T1201", "T0200", "T0403", "T0001", "T1503", "T0300", "T9900",
 ]
+# Processor by order priority 1 to 5, each for even and odd order keys.
+PROCESSORS = ["Paypal", "PAYPAL", "Dlocal", "DLocal", "PayU", "PayU", None, None, "Credit", "Credit"]
+GROUPINGS = {"BUILDING": "shared", "AUTOMOBILE": "addon", "MACHINERY": "domain", "FURNITURE": "services"}
+TRANSACTION_TYPES = {"F": "payment", "O": "payment|cash deposit", "P": "chargeback"}
 BANK_MID = "MID-A"
 RUN_STAMP = "0101260930"
 RUN_STAMP_LONG = "010120260930"
@@ -52,10 +56,14 @@ def matrix_rows() -> list[tuple[str, str, str, str]]:
     return [*rows, ("LMX1", "REFUND", "Hosting", "061-49900-000")]
 
 
-def pick(values: list[str], index: Column) -> Column:
+def pick(values: list[str | None], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def pick_by(values: dict[str, str], key: str) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col(key))
+
+
 def every(n: int, key: str = "order_key", rest: int = 0) -> Column:
     return F.col(key) % n == rest
 
@@ -104,7 +112,7 @@ class Roles(StarTables):
         manual = F.concat(F.lit("MANUALTRANS"), F.lpad(key, F.greatest(F.lit(6), F.length(key)), F.lit("0")))
         gap = F.when(every(97), F.lit(None)).when(every(89), F.lit(""))
         has_gap = every(97) | every(89)
-        priority, segment = F.left("o_orderpriority", F.lit(1)), F.col("c_mktsegment")
+        priority = F.left("o_orderpriority", F.lit(1))
         rows = rows.withColumns(
             {
                 "company": F.when(every(4, rest=3), COMPANIES[1]).otherwise(COMPANIES[0]),
@@ -113,19 +121,9 @@ class Roles(StarTables):
                 "total": F.when(F.col("o_orderstatus") == "P", -price).otherwise(price).cast(MONEY),
                 "currency": pick(["MXN", "COP", "CLP", "USD", "BRL"], F.col("n_regionkey")),
                 "country": pick(["US", "India", "Japan", "MX", "BR"], F.col("n_nationkey") % 5),
-                "processor": F.when((priority == "1") & every(2, rest=1), "PAYPAL")
-                .when(priority == "1", "Paypal")
-                .when((priority == "2") & every(2, rest=1), "DLocal")
-                .when(priority == "2", "Dlocal")
-                .when(priority == "3", "PayU")
-                .when(priority == "5", "Credit"),
-                "grouping": F.when(segment == "BUILDING", "shared")
-                .when(segment == "AUTOMOBILE", "addon")
-                .when(segment == "MACHINERY", "domain")
-                .when(segment == "FURNITURE", "services"),
-                "transaction_type": F.when(F.col("o_orderstatus") == "F", "payment")
-                .when(F.col("o_orderstatus") == "O", "payment|cash deposit")
-                .otherwise("chargeback"),
+                "processor": pick(PROCESSORS, (priority.cast("int") - 1) * 2 + F.col("order_key") % 2),
+                "grouping": pick_by(GROUPINGS, "c_mktsegment"),
+                "transaction_type": pick_by(TRANSACTION_TYPES, "o_orderstatus"),
                 "rebill_or_new": F.when(every(3), "New").when(every(3, rest=1), "Renew"),
                 "invoice_id": F.when(has_gap, gap).otherwise(key),
                 "txn_id": F.when(has_gap, gap).when(every(10), manual).otherwise(key),

@@ -78,8 +78,8 @@ def scan_business_day(
     df: DataFrame, ts: str = "ts", channel: str = "settled_by", cutoff_channel: str = "Dlocal", cutoff_hour: int = 21
 ) -> DataFrame:
     """All business days at once: adds ``business_date`` and drops rows of no channel."""
-    out = df.withColumn("business_date", business_date(ts, channel, cutoff_channel, cutoff_hour))
-    return out.filter(F.col("business_date").isNotNull())
+    rows = df.filter(F.col(ts).isNotNull() & F.col(channel).isNotNull())
+    return rows.withColumn("business_date", business_date(ts, channel, cutoff_channel, cutoff_hour))
 
 
 def one_business_day(
