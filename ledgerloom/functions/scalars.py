@@ -49,8 +49,8 @@ def business_date(ts: Column | str, channel: Column | str, cutoff_channel: str,
     calendar day. Rows of no channel belong to no day; the scans drop them.
     """
     ts = col(ts)
-    shift = F.make_interval(hours=F.lit(24 - cutoff_hour))
-    return F.to_date(F.when(ci_equals(channel, cutoff_channel), ts + shift).otherwise(ts))
+    shift = F.when(ci_equals(channel, cutoff_channel), 24 - cutoff_hour).otherwise(0)
+    return F.to_date(F.timestamp_add("HOUR", shift, ts))
 
 
 # --- ledger classification -------------------------------------------------

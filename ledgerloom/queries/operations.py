@@ -187,7 +187,7 @@ def publish_run_history(r):
     history = run_history(r)
     pending = P.next_dates(history, BRAND, r.statement_c, "update_date")
     started = c("business_date").cast("timestamp")
-    stopped = started + F.make_interval(hours=F.lit(1))
+    stopped = F.timestamp_add("HOUR", F.lit(1), started)
     daily = P.run_history_rows(history, pending, BRAND, started, stopped).withColumn("run_type", F.lit(None).cast("string"))
     override = P.run_history_rows(history, pending, BRAND, started, stopped, run_type="EXCEPTION")
     shown = ["run_id", "date_run", "brand_table", "run_type"]

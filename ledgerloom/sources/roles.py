@@ -117,7 +117,7 @@ class Roles(StarTables):
             {
                 "company": F.when(every(4, rest=3), COMPANIES[1]).otherwise(COMPANIES[0]),
                 "date": F.to_date("o_orderdate"),
-                "ts": F.col("o_orderdate") + F.make_interval(hours=(F.col("order_key") % 24).cast("int")),
+                "ts": F.timestamp_add("HOUR", (F.col("order_key") % 24).cast("int"), F.col("o_orderdate")),
                 "total": F.when(F.col("o_orderstatus") == "P", -price).otherwise(price).cast(MONEY),
                 "currency": pick(["MXN", "COP", "CLP", "USD", "BRL"], F.col("n_regionkey")),
                 "country": pick(["US", "India", "Japan", "MX", "BR"], F.col("n_nationkey") % 5),
@@ -196,7 +196,7 @@ class Roles(StarTables):
     def statement_a(self) -> DataFrame:
         """Report A: transactions and chargebacks, some delivered or dated late."""
         rows = self.statement.filter(ci_equals("settled_by", CHANNEL_A) | ci_equals("settled_by", CREDIT))
-        day = F.to_date(F.col("ts") + F.make_interval(hours=F.lit(3)))
+        day = F.to_date(F.timestamp_add("HOUR", F.lit(3), F.col("ts")))
         active = F.date_add(day, F.when(every(50), 1).otherwise(0))
         delivered = F.date_add(active, F.when(every(53), 2).otherwise(1))
         amount = F.abs("gross")
@@ -245,7 +245,7 @@ class Roles(StarTables):
             F.when(~every(19), F.floor(F.abs("gross") * 3).cast("bigint")).alias("fee_minor"),
             F.col("currency").alias("gross_currency"),
             F.col("ts").alias("initiation_date"),
-            (F.col("ts") + F.make_interval(days=F.lit(1))).alias("completion_date"),
+            F.timestamp_add("DAY", F.lit(1), F.col("ts")).alias("completion_date"),
         )
 
     @cached_property
@@ -257,7 +257,7 @@ class Roles(StarTables):
             F.col("txn_id").alias("id"),
             F.when(every(17), "DECLINED").otherwise("APPROVED").alias("status"),
             F.col("ts").alias("update_date"),
-            (F.col("ts") + F.make_interval(days=F.lit(1))).alias("creation_date"),
+            F.timestamp_add("DAY", F.lit(1), F.col("ts")).alias("creation_date"),
             F.col("gross").cast("string").alias("processing_value"),
             F.col("currency").alias("transaction_currency"),
         )
