@@ -134,6 +134,7 @@ def _by_line(specs: Sequence[LineSpec], value: Callable[[LineSpec], Column]) ->
 
 
 def header(journal: JournalSpec, date: str = "business_date") -> dict[str, Column]:
+    """Header columns that do not depend on the line."""
     return {
         "checkbookid": F.lit(journal.checkbook),
         "batchid": batch_id(date),

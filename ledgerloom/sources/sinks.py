@@ -66,7 +66,7 @@ def replace_batches(
         keys = new.select(*dict.fromkeys([*parts, *batch_keys])).distinct()
         old = conform(df.sparkSession.read.schema(schema).parquet(path), schema)
         old = old.join(keys.select(*parts).distinct(), parts, "left_semi")
-        new = old.join(keys, list(batch_keys), "left_anti").select(*new.columns).unionByName(new)
+        new = replaced_batches(old, new, batch_keys, keys)
     writer = _clustered(new, parts, writers).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(path)
 
@@ -80,7 +80,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def replaced_batches(old: DataFrame, new: DataFrame, batch_keys: Sequence[str] = ("brand", "batchid")) -> DataFrame:
-    """What the table holds after :func:`replace_batches`, without writing it."""
-    touched = new.select(*batch_keys).distinct()
-    return old.join(touched, list(batch_keys), "left_anti").unionByName(new, allowMissingColumns=True)
+def replaced_batches(
+    old: DataFrame, new: DataFrame, batch_keys: Sequence[str] = ("brand", "batchid"), keys: DataFrame | None = None
+) -> DataFrame:
+    """Old rows of batches not in ``new``, and the new rows. ``keys`` lists the new batches if already known."""
+    keys = new.select(*batch_keys).distinct() if keys is None else keys
+    return old.join(keys, list(batch_keys), "left_anti").select(*new.columns).unionByName(new)
