@@ -16,7 +16,7 @@ _MANY = 64
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)(/?s>|\|)", r"<\\\\$1$2")
+    return F.regexp_replace(text, r"<(\\*)(/?s>|\|)", r"<\\$1$2")
 
 
 def unescape(text: Column) -> Column:
