@@ -46,7 +46,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if size not in _POWERS:
         inverse = pow(_BASE, -1, 1 << 64)
         _POWERS[size] = tuple(
-            np.cumprod(np.concatenate(([1], np.full(size, base, dtype=np.uint64))).astype(np.uint64)) for base in (_BASE, inverse)
+            np.cumprod(np.concatenate((np.ones(1, dtype=np.uint64), np.full(size, base, dtype=np.uint64))), dtype=np.uint64)
+            for base in (_BASE, inverse)
         )
     return _POWERS[size]
 

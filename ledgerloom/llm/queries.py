@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, sharding
+from ledgerloom.llm import chat, mixing, sharding, token_counts
+from ledgerloom.llm.common import cut, n_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +81,16 @@ def op10(spark, sf_dir):
         F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op3_token_counts")
+def op3(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op9_mixing")
+def op9(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "source", "text").alias("key")))
+    return mixing.mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
