@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, mixing, sharding, token_counts
+from ledgerloom.llm import chat, mixing, near_vectors, quality, sharding, token_counts
 from ledgerloom.llm.common import cut, n_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,32 @@ def op9(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "source", "text").alias("key")))
     return mixing.mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query("op7_quality_classifier")
+def op7(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+OP6_SQL = """
+with recursive usable as (
+  select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
+  where label is not null and vec_id is not null and embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
+    and list_bool_or(list_transform(embedding, x -> x <> 0))
+), links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from reach r join links l on r.b = l.a),
+low as (select a, min(b) as component_id from reach group by a),
+n as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n.n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from embeddings join low on low.a = vec_id left join n on n.a = vec_id
+"""
+
+
+@query("op6_near_vectors", OP6_SQL)
+def op6(spark, sf_dir):
+    return near_vectors.link_near_vectors(_table(spark, sf_dir, "embeddings"))
