@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,6 +125,67 @@ def batches(frames: Iterator, rows: int) -> Iterator:
             yield frame.iloc[i : i + rows]
 
 
+def sorted_groups(frames: Iterator, keys: list[str]) -> Iterator:
+    """Whole groups, as frames, from a partition sorted by the keys; groups may span incoming frames."""
+    rest = None
+    for frame in frames:
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        new = (frame[keys].iloc[1:].to_numpy() != frame[keys].iloc[:-1].to_numpy()).any(axis=1)
+        edges = [0, *(np.flatnonzero(new) + 1)]
+        for a, b in zip(edges, edges[1:]):
+            yield frame.iloc[a:b]
+        rest = frame.iloc[edges[-1] :]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def block_tasks(rows: DataFrame, group: list[str], row: str, block_rows: int) -> DataFrame:
+    """Deal the rows of each group to tasks (i, j), i <= j, of two blocks of about block_rows rows at most; block tells a row's own.
+
+    All pairs of rows of a group meet in a task: those of one block in (i, i), others in (i, j). A group of one block has one task.
+    Groups of a single row get none.
+    """
+    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1").drop("n")
+    placed = rows.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(row), F.col("blocks")).cast("int"))
+    with_all = F.expr("transform(sequence(0, blocks - 1), j -> struct(least(block, j) as i, greatest(block, j) as j))")
+    return placed.withColumn("at", F.explode(with_all)).withColumns({"i": F.col("at.i"), "j": F.col("at.j")}).drop("at", "blocks")
+
+
+class Union:
+    """Components among the rows of a task: smallest index per component, hooked in batches."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray, at_once: bool = False) -> None:
+        apart = self.label[a] != self.label[b]
+        if apart.any():
+            self.waiting.append((a[apart], b[apart]))
+            self.size += int(apart.sum())
+        if self.size > 500_000 or (at_once and self.size):
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        a, b = (np.concatenate(x) for x in zip(*self.waiting))
+        while True:
+            la, lb = self.label[a], self.label[b]
+            if (la == lb).all():
+                break
+            low = np.minimum(la, lb)
+            np.minimum.at(self.label, la, low)
+            np.minimum.at(self.label, lb, low)
+            while not np.array_equal(self.label, self.label[self.label]):
+                self.label = self.label[self.label]
+        self.waiting, self.size = [], 0
+
+
 def shared_folder(spark: SparkSession) -> None:
     """Make sure that checkpoints have a folder: spark.checkpoint.dir, or a local one where a local session sets none."""
     context = spark.sparkContext

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import components, cut
+from ledgerloom.llm.common import Union, components, cut
 
 #: Centres over all labels, in expectation: a fixed bound of what is broadcast.
 CENTRES = 1024
@@ -97,38 +97,6 @@ def cover_tree(points: np.ndarray, rows: np.ndarray | None = None, radius: float
     return root
 
 
-class _Union:
-    """Smallest index of each local component, kept as flat labels and hooked in batches."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
-        apart = self.label[a] != self.label[b]
-        if apart.any():
-            self.waiting.append((a[apart], b[apart]))
-            self.size += int(apart.sum())
-            if self.size > 500_000:
-                self.settle()
-
-    def settle(self) -> None:
-        if not self.waiting:
-            return
-        a, b = (np.concatenate(x) for x in zip(*self.waiting))
-        while True:
-            la, lb = self.label[a], self.label[b]
-            if (la == lb).all():
-                break
-            low = np.minimum(la, lb)
-            np.minimum.at(self.label, la, low)
-            np.minimum.at(self.label, lb, low)
-            while not np.array_equal(self.label, self.label[self.label]):
-                self.label = self.label[self.label]
-        self.waiting, self.size = [], 0
-
-
 def dual_links(
     points: np.ndarray, weight: np.ndarray, left: Node, right: Node | None, cosine: float
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +105,7 @@ def dual_links(
     right None: the pairs inside left, each point not with itself.
     """
     r = float(np.sqrt(2 - 2 * cosine))
-    links, union = np.zeros(len(points), dtype=np.int64), _Union(len(points))
+    links, union = np.zeros(len(points), dtype=np.int64), Union(len(points))
     weight = np.asarray(weight, dtype=np.int64)
     same = right is None
     stack = [(left, left if same else right)]

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, mixing, near_vectors, quality, sharding, token_counts
+from ledgerloom.llm import (
+    chat, decontaminate, mixing, near_vectors, pseudo_likelihood, quality, sharding, shingle_join, substring_dedup, token_counts,
+)
 from ledgerloom.llm.common import cut, n_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,10 +107,10 @@ def op7(spark, sf_dir):
 
 OP6_SQL = """
 with recursive usable as (
-  select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
+  select vec_id, label, [x::double for x in embedding] as e from embeddings
   where label is not null and vec_id is not null and embedding is not null and len(embedding) > 0
-    and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
-    and list_bool_or(list_transform(embedding, x -> x <> 0))
+    and list_bool_and([x is not null and isfinite(x) for x in embedding])
+    and list_bool_or([x <> 0 for x in embedding])
 ), links as (
   select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
   where list_cosine_similarity(a.e, b.e) >= 0.98
@@ -123,3 +125,68 @@ from embeddings join low on low.a = vec_id left join n on n.a = vec_id
 @query("op6_near_vectors", OP6_SQL)
 def op6(spark, sf_dir):
     return near_vectors.link_near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents
+), s as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]) end as s from w
+), n as (select doc_id, len(s)::bigint as n from s),
+u as (select doc_id, unnest(s) as g from s),
+many as (select g from u group by g having count(*) > 1),
+k as (select doc_id, g from u semi join many using (g)),
+common_grams as (select a.doc_id as a, b.doc_id as b, count(*) as o from k a join k b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+links as (
+  select a, b from common_grams join n x on x.doc_id = a join n y on y.doc_id = b where 100 * o >= 85 * (x.n + y.n - o)
+), reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reach r join links l on r.b = l.a)
+select a as doc_id, n as n_shingles, min(b) as component_id from reach join n on n.doc_id = a group by a, n
+"""
+
+
+@query("op1_jaccard_join", OP1_SQL)
+def op1(spark, sf_dir):
+    return shingle_join.jaccard_join(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+OP2_SQL = """
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents
+), starts as (
+  select doc_id, unnest(range(1, len(w) - 18)) as s from w where len(w) >= 20
+), windows as (
+  select doc_id, s, array_to_string(w[s:s + 19], ' ') as t from starts join w using (doc_id)
+), seen as (
+  select doc_id, s from windows qualify row_number() over (partition by t order by doc_id, s) > 1
+), gone as (
+  select distinct doc_id, s + k as i from seen, range(0, 20) r(k)
+), places as (
+  select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from w
+), kept as (
+  select doc_id, string_agg(word, ' ' order by i) as t, count(*) as n from places anti join gone using (doc_id, i) group by doc_id
+)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from w left join kept using (doc_id)
+"""
+
+
+@query("op2_substring_dedup", OP2_SQL)
+def op2(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op4_decontamination")
+def op4(spark, sf_dir):
+    """One row per run of matching windows."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.match_benchmark(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
+@query("op8_pseudo_likelihood")
+def op8(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_likelihood.score_pseudo_likelihood(docs).select("doc_id", "n_words", "score", "mean_score")
