@@ -142,6 +142,22 @@ def sorted_groups(frames: Iterator, keys: list[str]) -> Iterator:
         yield rest
 
 
+def whole_groups(frames: Iterator, keys: list[str]) -> Iterator:
+    """Frames of many whole groups each, from a partition sorted by the keys."""
+    rest = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        last = (frame[keys] == frame[keys].iloc[-1]).all(axis=1).to_numpy()
+        first = len(frame) - int(last[::-1].argmin()) if not last.all() else 0
+        if first:
+            yield frame.iloc[:first]
+        rest = frame.iloc[first:]
+    if rest is not None and len(rest):
+        yield rest
+
+
 def block_tasks(rows: DataFrame, group: list[str], row: str, block_rows: int) -> DataFrame:
     """Deal the rows of each group to tasks (i, j), i <= j, of two blocks of about block_rows rows at most; block tells a row's own.
 
@@ -154,6 +170,31 @@ def block_tasks(rows: DataFrame, group: list[str], row: str, block_rows: int) ->
     return placed.withColumn("at", F.explode(with_all)).withColumns({"i": F.col("at.i"), "j": F.col("at.j")}).drop("at", "blocks")
 
 
+class Roots:
+    """Components of ids met in a partition: each known id points to a smaller one, or to itself."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        up, root = self.up, x
+        while (above := up.get(root, root)) != root:
+            root = above
+        while x != root:
+            up[x], x = root, up[x]
+        return root
+
+    def unite(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+
+    def stars(self) -> pd.DataFrame:
+        """One edge from each id to the smallest of its component."""
+        src = list(self.up)
+        return pd.DataFrame({"src": np.array(src, dtype=np.int64), "dst": np.array([self.find(x) for x in src], dtype=np.int64)})
+
+
 class Union:
     """Components among the rows of a task: smallest index per component, hooked in batches."""
 

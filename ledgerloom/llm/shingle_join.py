@@ -22,7 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Union, batches, block_tasks, components, cut, mix, shingles, signed, sorted_groups, word_hashes
+from ledgerloom.llm.common import (
+    Roots, Union, batches, block_tasks, components, cut, mix, shingles, signed, sorted_groups, whole_groups, word_hashes,
+)
 
 #: Documents whose grams are counted to find frequent ones, and how many of those are kept: bounds of what is broadcast.
 SAMPLE, FREQUENT = 5_000, 20_000
@@ -44,10 +46,7 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _bounds(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(x), len(y)), dtype=np.int64)
-    for g in range(x.shape[1]):
-        out += np.minimum(x[:, g, None], y[None, :, g])
-    return out
+    return np.minimum(x[:, None, :], y[None, :, :]).sum(axis=2, dtype=np.int64)
 
 
 class RTree:
@@ -82,8 +81,23 @@ def _may_match(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int) -
 def tree_join(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray | None, percent: int, union: Union, accept=None) -> None:
     """Unite rows whose count vectors, and accept if given, allow a link: pairs of left x right, or inside left where right is None.
 
-    Pairs already in one component are passed over: they can't change the result.
+    Pairs already in one component are passed over: they can't change the result. Few rows are one leaf.
     """
+    def leaves(x: np.ndarray, y: np.ndarray, same: bool) -> None:
+        apart = union.label[x][:, None] != union.label[y][None, :]
+        if same:
+            apart &= ~np.tri(len(x), dtype=bool)
+        if not apart.any():
+            return
+        whole = (points, sizes, sizes)
+        for p, q in zip(*np.nonzero(_may_match(whole, x, whole, y, percent) & apart)):
+            u, v = x[p], y[q]
+            if union.label[u] != union.label[v] and (accept is None or accept(u, v)):
+                union.add(np.array([u]), np.array([v]), at_once=True)
+
+    if right is None and len(left) <= _LEAF:
+        leaves(left, left, True)
+        return
     a = RTree(points, sizes, left)
     b = a if right is None else RTree(points, sizes, right)
     stack = [(len(a.levels) - 1, 0, len(b.levels) - 1, 0)]
@@ -98,17 +112,7 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np
                 if right is not None or _first_row(na, own[p]) <= _last_row(nb, other[q]):
                     stack.append((na, int(own[p]), nb, int(other[q])))
             continue
-        x, y = a.leaf(i), b.leaf(j)
-        apart = union.label[x][:, None] != union.label[y][None, :]
-        if right is None and i == j:
-            apart &= np.tri(len(x), k=-1, dtype=bool).T
-        if not apart.any():
-            continue
-        whole = (points, sizes, sizes)
-        for p, q in zip(*np.nonzero(_may_match(whole, x, whole, y, percent) & apart)):
-            u, v = x[p], y[q]
-            if union.label[u] != union.label[v] and (accept is None or accept(u, v)):
-                union.add(np.array([u]), np.array([v]), at_once=True)
+        leaves(a.leaf(i), b.leaf(j), right is None and i == j)
 
 
 def _first_row(level: int, node: int) -> int:
@@ -144,7 +148,7 @@ def _described(k: int, percent: int, frequent):
 
 
 def _points(column: pd.Series, groups: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<u4").reshape(-1, groups).astype(np.int64)
+    return np.frombuffer(b"".join(column), dtype="<u4").reshape(-1, groups).astype(np.int32)
 
 
 def _halves(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray | None]:
@@ -163,22 +167,46 @@ def _star(rep: np.ndarray, union: Union) -> pd.DataFrame:
 
 
 def _in_buckets(percent: int):
+    """Components of each partition's buckets: one leaf for small ones, all of a frame at once, and R-trees for others."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in sorted_groups(frames, ["gram", "i", "j"]):
-            left, right = _halves(frame)
-            rep = frame["rep"].to_numpy()
-            if not len(left) or (right is not None and not len(right)) or (rep == rep[0]).all():
-                continue
-            union = Union(len(rep))
-            if len(rep) == 2:
-                sizes, points = frame["n_shingles"].to_numpy(), _points(frame["point"], GROUPS)
-                if np.minimum(points[0], points[1]).sum() >= _needed(sizes[0], sizes[1], percent):
-                    union.add(np.array([0]), np.array([1]))
-            else:
-                tree_join(_points(frame["point"], GROUPS), frame["n_shingles"].to_numpy(), left, right, percent, union)
-            out = _star(rep, union)
-            if len(out):
-                yield out
+        roots = Roots()
+        for frame in whole_groups(frames, ["gram", "i", "j"]):
+            rep, sizes = frame["rep"].to_numpy(), frame["n_shingles"].to_numpy()
+            points = _points(frame["point"], GROUPS)
+            key = frame[["gram", "i", "j"]].to_numpy()
+            edges = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
+            bucket = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+            small = (np.diff(edges) <= _LEAF) & (frame["i"].to_numpy() == frame["j"].to_numpy())[edges[:-1]]
+            root = np.array([roots.find(r) for r in rep.tolist()])
+            rows = np.flatnonzero(small[bucket])
+            for shift in range(1, _LEAF):
+                a, b = rows[:-shift], rows[shift:]
+                a, b = (x[(bucket[a] == bucket[b])] for x in (a, b))
+                if not len(a):
+                    break
+                near = (root[a] != root[b]) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
+                a, b = a[near], b[near]
+                for at in range(0, len(a), 20_000):
+                    x, y = a[at : at + 20_000], b[at : at + 20_000]
+                    hit = np.minimum(points[x], points[y]).sum(axis=1, dtype=np.int64) >= _needed(sizes[x], sizes[y], percent)
+                    for u, v in zip(rep[x[hit]].tolist(), rep[y[hit]].tolist()):
+                        roots.unite(u, v)
+            for g in np.flatnonzero(~small):
+                own = frame.iloc[edges[g] : edges[g + 1]]
+                left, right = _halves(own)
+                if not len(left) or (right is not None and not len(right)):
+                    continue
+                at = slice(edges[g], edges[g + 1])
+                now = np.array([roots.find(r) for r in rep[at].tolist()])
+                union = Union(len(own))
+                union.label = np.unique(now, return_index=True)[1][np.unique(now, return_inverse=True)[1]]
+                before = union.label.copy()
+                tree_join(points[at], sizes[at], left, right, percent, union)
+                union.settle()
+                for k in np.flatnonzero(union.label != before):
+                    roots.unite(int(rep[at][k]), int(rep[at][union.label[k]]))
+        yield roots.stars()
 
     return run
 
