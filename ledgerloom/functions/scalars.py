@@ -39,7 +39,8 @@ def batch_id(d: Column | str, prefix: str = "ACL_") -> Column:
 
 
 def date_from_yyyymmdd(s: Column | str) -> Column:
-    return F.to_date(col(s), "yyyyMMdd")
+    """NULL for text that is no such date, so that one odd file name stops no scan."""
+    return F.try_to_date(col(s), "yyyyMMdd")
 
 
 def business_date(ts: Column | str, channel: Column | str, cutoff_channel: str, cutoff_hour: int = 21) -> Column:

@@ -59,9 +59,10 @@ def placeholder_accounts(lines: DataFrame, mark: str = "XX", dedupe: bool = True
 
 
 def source_completeness(days: DataFrame, source: DataFrame, minimum: int = MINIMUM_SOURCE_ROWS) -> DataFrame:
-    """Source rows per required day; a required day without rows fails."""
-    counts = source.groupBy("business_date").agg(F.count("*").alias("value"))
-    out = days.join(counts, "business_date", "left").withColumn("value", F.coalesce("value", F.lit(0)))
+    """Source rows per required day and company; a required day on which a company's own source has no rows fails."""
+    key = ["business_date", "company"]
+    counts = source.groupBy(*key).agg(F.count("*").alias("value"))
+    out = days.select(*key).join(counts, key, "left").withColumn("value", F.coalesce("value", F.lit(0)))
     return out.withColumn("status", F.when(F.col("value") < minimum, "fail").otherwise("ok"))
 
 
@@ -87,9 +88,7 @@ def gate_results(
     """Every gate's rows in one shape; ``skip`` leaves gates out of an override run."""
     per_day = {
         "placeholder": lambda: placeholder_accounts(lines),
-        "completeness": lambda: days.select("business_date", "company").distinct().join(
-            source_completeness(days.select("business_date").distinct(), source), "business_date"
-        ),
+        "completeness": lambda: source_completeness(days.select("business_date", "company").distinct(), source),
         "suspense": lambda: suspense_limit(lines, suspense_account),
     }
     parts = []

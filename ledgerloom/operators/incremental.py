@@ -22,13 +22,19 @@ def refresh_since_mark(
 ) -> DataFrame:
     """The whole table with the slice at or after the mark enriched again.
 
+    Without an enriched row and a default there is no mark, and all rows are
+    enriched: a full run is an increment from an empty mark. Rows without a
+    creation time are not at or after any mark; they stay as they are unless
+    there is none. Every row of the table is in the result once.
+
     The mark is a scalar subquery, so the same plan reads it and prunes with
     it; nothing comes back to the driver. The two slices are disjoint, so no
     key join is needed to replace the old rows.
     """
     mark = high_water_mark(table, created, done, default).scalar()
-    fresh = enrich(table.filter(F.col(created) >= mark))
-    kept = table.filter(F.col(created) < mark)
+    is_fresh = (F.col(created) >= mark) | mark.isNull()
+    fresh = enrich(table.filter(is_fresh))
+    kept = table.filter(~F.coalesce(is_fresh, F.lit(False)))
     return kept.unionByName(fresh.select(*table.columns))
 
 

@@ -198,7 +198,7 @@ def branded() -> Column:
     return F.coalesce(F.upper("distref").startswith(ci_key("company")), F.lit(False))
 
 
-def add_plug(lines: DataFrame, journal: JournalSpec, account: str, label: str, name: str) -> DataFrame:
+def add_plug(lines: DataFrame, journal: JournalSpec, account: str | Column, label: str, name: str) -> DataFrame:
     """Append one balancing line per company, day and checkbook.
 
     The line is emitted next to the first line of its book, so the lines are
@@ -232,7 +232,7 @@ def add_document_amount(lines: DataFrame, of: Column, scope: Sequence[str] = ("b
     return lines.withColumn("docamt", total.cast(MONEY))
 
 
-def add_distribution_type(lines: DataFrame, account: str, when_equal: str, otherwise: str) -> DataFrame:
+def add_distribution_type(lines: DataFrame, account: str | Column, when_equal: str, otherwise: str) -> DataFrame:
     same = F.col("account") == account
     return lines.withColumn("distype", F.when(same, when_equal).otherwise(otherwise))
 

@@ -53,9 +53,12 @@ def row_identity(
     sizes = rows.groupBy(*bucket).agg(F.max("__n").cast("bigint").alias("__size"))
     before = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*bucket, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))
-    out = rows.join(shifts, bucket).withColumn(number, F.col("__shift") + F.col("__n"))
+    # rows without a company or date are the ones an exception report must keep, so groups meet NULL-safely
+    shifts = shifts.select(*[F.col(c).alias(f"__of_{c}") for c in bucket], "__shift")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in bucket])
+    out = rows.join(shifts, same).withColumn(number, F.col("__shift") + F.col("__n"))
     out = out.withColumn(text, F.concat(F.lit(label), F.col(number).cast("string")))
-    return out.drop("__bucket", "__n", "__shift")
+    return out.drop("__bucket", "__n", "__shift", *[f"__of_{c}" for c in bucket])
 
 
 # --- filters ---------------------------------------------------------------

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.keys import MONEY, ci_equals, ci_in, zero_if_null
+from ledgerloom.functions.keys import MONEY, ci_equals, ci_in, ci_key, zero_if_null
 from ledgerloom.functions.scalars import CHANNEL_A, CHANNEL_B, CHANNEL_C, CREDIT, DEPOSIT_LINE, yyyymmdd
 from ledgerloom.operators import match as M
 from ledgerloom.operators import posting as P
@@ -21,14 +22,15 @@ from ledgerloom.operators.relational import union
 PLACEHOLDER = "XXX-XXXXX-XXX"
 AR_ACCOUNT = "061-11001-000"
 CASH_ACCOUNT = "061-10005-000"
-WALLET_CASH_ACCOUNT = "042-10030-000"
 FEE_ACCOUNT = "061-57000-590"
 FX_ACCOUNT = "061-82700-950"
 SUSPENSE_ACCOUNT = "061-11045-000"
 CHARGEBACK_ACCOUNT = "061-11035-000"
 TAX_ACCOUNTS_A = {"VAT": "042-24910-000", "IST": "042-24940-000", "GST": "042-24940-000", "UST": "042-21120-000"}
-TAX_ACCOUNTS_B = {"VAT": "042-24910-000", "UST": "061-21120-000"}
-TAX_OTHER_B = "061-24940-000"
+WALLET_ACCOUNTS = {
+    "LMX1": {"cash": "042-10030-000", "VAT": "042-24910-000", "UST": "061-21120-000", "other": "061-24940-000"},
+    "LBR2": {"cash": "061-10030-000", "VAT": "061-24910-000", "UST": "061-21120-000", "other": "061-24940-000"},
+}
 TAX_ACCOUNTS_C = {"VAT": "042-24910-000", "UST": "042-21120-000"}
 TAX_OTHER_C = "042-24940-000"
 MERCHANT_TAGS = {
@@ -53,10 +55,16 @@ class Company:
         return F.when(ci_in("company", self.known), text).otherwise(F.lit("XXX - OTHER"))
 
 
-def _tax_account(accounts: dict[str, str], otherwise: str) -> Column:
+def company_account(accounts: Mapping[str, Mapping[str, str]], kind: str) -> Column:
+    """Account of a kind by company; the placeholder, which a gate stops, for a company without accounts."""
+    table = F.create_map(*[F.lit(x) for company, own in accounts.items() for x in (company, own[kind])])
+    return F.coalesce(F.try_element_at(table, ci_key("company")), F.lit(PLACEHOLDER))
+
+
+def _tax_account(accounts: Mapping[str, str | Column], otherwise: str | Column) -> Column:
     out = None
     for kind, number in accounts.items():
-        test = ci_equals("tax_type", kind)
+        test, number = ci_equals("tax_type", kind), number if isinstance(number, Column) else F.lit(number)
         out = F.when(test, number) if out is None else out.when(test, number)
     return out.otherwise(otherwise)
 
@@ -177,7 +185,8 @@ def finish_a(lines: DataFrame) -> DataFrame:
 
 # --- journals B and C: wallet and card -------------------------------------
 
-def spec_b() -> JournalSpec:
+def spec_b(accounts: Mapping[str, Mapping[str, str]] = WALLET_ACCOUNTS) -> JournalSpec:
+    taxes = {kind: company_account(accounts, kind) for kind in ("VAT", "UST")}
     return JournalSpec(
         "wallet", "PAYPAL", " CASH PAYPAL", "PP", PLACEHOLDER, repeat_date=True,
         lines=(
@@ -186,12 +195,12 @@ def spec_b() -> JournalSpec:
                 lambda: _text(
                     c("company"), " ", c("txn_type"), " ", c("business_line"), " ", c("currency"), " - PAYPAL SALES"
                 ),
-                matrix=("txn_type", "business_line"),
+                matrix=("company", "txn_type", "business_line"),
             ),
             LineSpec(
                 "tax", "tax_usd", ("currency", "tax_type"), "CN",
                 lambda: _text(c("company"), " PAYPAL ", c("currency"), " - ", c("tax_type"), " PAYABLE"),
-                account=lambda: _tax_account(TAX_ACCOUNTS_B, TAX_OTHER_B), where=lambda: c("tax_usd") != 0,
+                account=lambda: _tax_account(taxes, company_account(accounts, "other")), where=lambda: c("tax_usd") != 0,
             ),
             LineSpec(
                 "suspense", "other_diff", ("currency",), "DN0",
@@ -217,8 +226,12 @@ def reconciled_b(ledger: DataFrame, report_rows: DataFrame) -> DataFrame:
     return M.split_variance(M.reconcile(left, R.summarise_wallet_report(report_rows)), "event_code")
 
 
-def journal_b(ledger: DataFrame, report_rows: DataFrame, matrix: DataFrame, run_stamp: str) -> DataFrame:
-    spec = spec_b()
+def journal_b(
+    ledger: DataFrame, report_rows: DataFrame, matrix: DataFrame, run_stamp: str,
+    accounts: Mapping[str, Mapping[str, str]] = WALLET_ACCOUNTS,
+) -> DataFrame:
+    """The wallet journal; ``accounts`` holds each company's own cash and tax accounts."""
+    spec, cash_account = spec_b(accounts), company_account(accounts, "cash")
     lines = union(
         [
             P.build_lines(channel_slice(ledger, CHANNEL_B), spec, spec.line("revenue", "tax"), matrix),
@@ -227,10 +240,10 @@ def journal_b(ledger: DataFrame, report_rows: DataFrame, matrix: DataFrame, run_
             ),
         ]
     )
-    full = P.add_plug(lines, spec, WALLET_CASH_ACCOUNT, " CASH USD - PAYPAL SALES", "cash")
+    full = P.add_plug(lines, spec, cash_account, " CASH USD - PAYPAL SALES", "cash")
     cash = F.upper("distref").startswith(F.upper(_text(c("company"), " CASH")))
     out = P.add_document_amount(full, cash)
-    out = P.add_distribution_type(out, WALLET_CASH_ACCOUNT, "1", "3")
+    out = P.add_distribution_type(out, cash_account, "1", "3")
     return P.add_receipt(out, _text(c("company"), "PPCR"), run_stamp)
 
 
@@ -243,7 +256,7 @@ def spec_c() -> JournalSpec:
                 lambda: _text(
                     c("company"), " ", c("txn_type"), " ", c("business_line"), " ", c("currency"), " - PAYU SALES"
                 ),
-                matrix=("txn_type", "business_line"),
+                matrix=("company", "txn_type", "business_line"),
             ),
             LineSpec(
                 "tax", "tax_usd", ("currency", "tax_type"), "CN",

@@ -42,7 +42,7 @@ cte("x_rates", f"""
 SELECT b.cur AS rate_currency, CAST(g.d AS DATE) AS rate_date,
   CAST(CAST(b.base AS DECIMAL(15,8))
      * CAST(1 + CAST(extract(day FROM g.d) AS INTEGER) * 0.001 AS DECIMAL(6,3)) AS DECIMAL(15,8)) AS rate
-FROM generate_series(DATE '1990-01-01', DATE '2029-12-31', INTERVAL 1 DAY) AS g(d)
+FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)) - 31, max(CAST(o_orderdate AS DATE)) + 31, INTERVAL 1 DAY)) FROM orders) AS g(d)
 CROSS JOIN (VALUES {_values}) AS b(cur, base)
 WHERE extract(day FROM g.d) <> 15""")
 
@@ -358,9 +358,10 @@ B_LINES = {
         "revenue", "CN", "coalesce(account, 'XXX-XXXXX-XXX')",
         "company || ' ' || txn_type || ' ' || business_line || ' ' || currency || ' - PAYPAL SALES'",
         "SELECT q.*, account FROM (" + summed("x_days", "revenue_usd", "txn_type business_line currency", "settled_by = 'Paypal'")
-        + ") AS q LEFT JOIN x_matrix2 ON mt = upper(txn_type) AND ml = upper(business_line)"),
+        + ") AS q LEFT JOIN x_matrix3 ON mc = upper(q.company) AND mt = upper(txn_type) AND ml = upper(business_line)"),
     "tax": line(
-        "tax", "CN", "CASE tax_type WHEN 'VAT' THEN '042-24910-000' WHEN 'UST' THEN '061-21120-000' ELSE '061-24940-000' END",
+        "tax", "CN", "CASE tax_type WHEN 'VAT' THEN CASE company WHEN 'LMX1' THEN '042-24910-000' ELSE '061-24910-000' END "
+        "WHEN 'UST' THEN '061-21120-000' ELSE '061-24940-000' END",
         "company || ' PAYPAL ' || currency || ' - ' || tax_type || ' PAYABLE'",
         summed("x_days", "tax_usd", "currency tax_type", "settled_by = 'Paypal' AND tax_usd <> 0")),
     "suspense": "SELECT * EXCLUDE (moved) FROM (SELECT *, sum(debit + credit) OVER (PARTITION BY business_date, company) AS moved FROM ("
@@ -378,7 +379,7 @@ C_LINES = {
         "revenue", "CN", "coalesce(account, 'XXX-XXXXX-XXX')",
         "company || ' ' || txn_type || ' ' || business_line || ' ' || currency || ' - PAYU SALES'",
         "SELECT q.*, account FROM (" + summed("x_days", "revenue_usd", "txn_type business_line currency", "settled_by = 'PayU'")
-        + ") AS q LEFT JOIN x_matrix2 ON mt = upper(txn_type) AND ml = upper(business_line)"),
+        + ") AS q LEFT JOIN x_matrix3 ON mc = upper(q.company) AND mt = upper(txn_type) AND ml = upper(business_line)"),
     "tax": line(
         "tax", "CN", "CASE tax_type WHEN 'VAT' THEN '042-24910-000' WHEN 'UST' THEN '042-21120-000' ELSE '042-24940-000' END",
         "company || ' PAYU ' || currency || ' - ' || tax_type || ' PAYABLE'",
@@ -401,11 +402,13 @@ def stack(lines: dict[str, str]) -> str:
 
 def plug(frame: str, account: str, label: str, name: str) -> str:
     return f"""SELECT * FROM {frame} UNION ALL BY NAME
-SELECT business_date, company, '{name}' AS table_name, '{account}' AS account, company || '{label}' AS distref, {sides('DN0')}
+SELECT business_date, company, '{name}' AS table_name, {account} AS account, company || '{label}' AS distref, {sides('DN0')}
 FROM (SELECT business_date, company, CAST(sum(credit) - sum(debit) AS DECIMAL(15,2)) AS amount FROM {frame}
   WHERE starts_with(distref, company) GROUP BY 1, 2) AS p"""
 
 
+WALLET_CASH = "CASE company WHEN 'LMX1' THEN '042-10030-000' ELSE '061-10030-000' END"
+
 cte("x_lines_a", stack(A_LINES))
 cte("x_journal_a", f"""
 SELECT t.*, {HEAD_A},
@@ -413,15 +416,15 @@ SELECT t.*, {HEAD_A},
     OVER (PARTITION BY business_date, company) AS DECIMAL(15,2)) AS docamt,
   CASE WHEN account <> '061-11001-000' THEN '9' ELSE '3' END AS distype FROM x_lines_a AS t""")
 cte("x_part_b", stack(B_LINES))
-cte("x_lines_b", plug("x_part_b", "042-10030-000", " CASH USD - PAYPAL SALES", "cash"))
+cte("x_lines_b", plug("x_part_b", WALLET_CASH, " CASH USD - PAYPAL SALES", "cash"))
 cte("x_journal_b", f"""
 SELECT t.*, {HEAD_B},
   CAST(sum(CASE WHEN starts_with(distref, company || ' CASH') THEN debit - credit END)
     OVER (PARTITION BY business_date, company) AS DECIMAL(15,2)) AS docamt,
-  CASE WHEN account = '042-10030-000' THEN '1' ELSE '3' END AS distype,
+  CASE WHEN account = {WALLET_CASH} THEN '1' ELSE '3' END AS distype,
   company || 'PPCR0101260930' AS cashrcpt FROM x_lines_b AS t""")
 cte("x_part_c", stack(C_LINES))
-cte("x_lines_c", plug("x_part_c", "061-11001-000", " A/R (USD) - PAYU SALES", "receivable"))
+cte("x_lines_c", plug("x_part_c", "'061-11001-000'", " A/R (USD) - PAYU SALES", "receivable"))
 cte("x_journal_c", f"""
 SELECT t.*, {HEAD_C},
   CAST(sum(CASE WHEN starts_with(distref, company || ' A/R') THEN debit - credit END)

@@ -43,9 +43,10 @@ SELECT business_date, company, count(*) FILTER (WHERE account IS NULL OR account
   CASE WHEN count(*) FILTER (WHERE account IS NULL OR account = '' OR account LIKE '%XX%') > 0 THEN 'fail' ELSE 'ok' END AS status
 FROM (SELECT DISTINCT business_date, company, credit, debit, account FROM x_all) AS u GROUP BY 1, 2"""
 COMPLETE_SQL = """
-SELECT d.business_date, coalesce(n, 0) AS value, CASE WHEN coalesce(n, 0) < 1 THEN 'fail' ELSE 'ok' END AS status
-FROM (SELECT DISTINCT business_date FROM x_days) AS d
-LEFT JOIN (SELECT CAST(update_date AS DATE) AS day, count(*) AS n FROM x_stmt_c GROUP BY 1) AS s ON s.day = d.business_date"""
+SELECT d.business_date, d.company, coalesce(n, 0) AS value, CASE WHEN coalesce(n, 0) < 1 THEN 'fail' ELSE 'ok' END AS status
+FROM (SELECT DISTINCT business_date, company FROM x_days) AS d
+LEFT JOIN (SELECT CAST(update_date AS DATE) AS day, company, count(*) AS n FROM x_stmt_c GROUP BY 1, 2) AS s
+  ON s.day = d.business_date AND s.company = d.company"""
 SUSPENSE_SQL = """
 SELECT business_date, company, value, CASE WHEN abs(value) > 2500 THEN 'fail' ELSE 'ok' END AS status FROM (
   SELECT business_date, company, sum(debit) - sum(credit) AS value FROM (
@@ -72,12 +73,12 @@ def control_placeholder_accounts(r):
 
 
 def card_days(r):
-    return r.statement_c.select(F.to_date("update_date").alias("business_date"))
+    return r.statement_c.select(F.to_date("update_date").alias("business_date"), "company")
 
 
 @query("control_source_completeness", COMPLETE_SQL, dates="business_date")
 def control_source_completeness(r):
-    return C.source_completeness(r.ledger_days.select("business_date").distinct(), card_days(r))
+    return C.source_completeness(required_days(r), card_days(r))
 
 
 @query("control_suspense_limit", SUSPENSE_SQL, money="value", dates="business_date")
@@ -93,8 +94,7 @@ FROM (SELECT *, status = 'fail' AS failed,
         CASE WHEN status = 'fail' THEN CASE gate WHEN 'balance' THEN '1' WHEN 'placeholder' THEN '2' WHEN 'completeness' THEN '3' ELSE '4' END || journal END AS first_rank
   FROM (SELECT 'balance' AS gate, business_date, company, journal, status FROM ({BALANCE_SQL}) AS b
         UNION ALL SELECT 'placeholder', business_date, company, 'all', status FROM ({PLACEHOLDER_SQL}) AS p
-        UNION ALL SELECT 'completeness', k.business_date, d.company, 'all', status FROM ({COMPLETE_SQL}) AS k
-          JOIN (SELECT DISTINCT business_date, company FROM x_days) AS d ON d.business_date = k.business_date
+        UNION ALL SELECT 'completeness', business_date, company, 'all', status FROM ({COMPLETE_SQL}) AS k
         UNION ALL SELECT 'suspense', business_date, company, 'all', status FROM ({SUSPENSE_SQL}) AS s) AS g) AS h
 GROUP BY 1, 2""", dates="business_date")
 def control_gate_status(r):
@@ -124,7 +124,7 @@ z_fail AS (
   SELECT business_date, company FROM z_balance WHERE status = 'fail'
   UNION SELECT business_date, company FROM z_lines WHERE account IS NULL OR account = '' OR account LIKE '%XX%'
   UNION SELECT d.business_date, d.company FROM (SELECT DISTINCT business_date, company FROM x_days) AS d
-    WHERE d.business_date NOT IN (SELECT CAST(update_date AS DATE) FROM x_stmt_c)
+    WHERE (d.business_date, d.company) NOT IN (SELECT (CAST(update_date AS DATE), company) FROM x_stmt_c)
   UNION SELECT business_date, company FROM (SELECT DISTINCT business_date, company, credit, debit, account FROM z_lines
       WHERE journal <> 'overpayment' AND account = '061-11045-000') AS u
     GROUP BY 1, 2 HAVING abs(sum(debit) - sum(credit)) > 2500)

@@ -47,9 +47,12 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (local tests) is a local folder used.
+    Only a session whose tasks all run in the driver's process may do without
+    that setting; elsewhere executors would write to disks of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "ledgerloom-scratch")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

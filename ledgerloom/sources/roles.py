@@ -26,7 +26,7 @@ from ledgerloom.sources.tables import StarTables
 
 # Inline dimensions.
 RATE_BASES = [("MXN", "0.04871000"), ("COP", "0.00027000"), ("CLP", "0.00131000"), ("USD", "1.00000000")]
-CALENDAR_START, CALENDAR_DAYS = "1990-01-01", 14610
+RATE_MARGIN_DAYS = 31  # rates are quoted this long before the first and after the last order, for reports dated apart from them
 COMPANIES = ["LMX1", "LBR2"]
 TYPES = ["CHARGEBACK", "NEW", "REBILL", "REFUND"]
 LINES = ["Add On", "Cust Deposit", "Domain", "Hosting", "Professional Services"]
@@ -73,15 +73,16 @@ class Roles(StarTables):
 
     @cached_property
     def rates(self) -> DataFrame:
-        """Daily rates by currency; none on the 15th of a month, none for BRL."""
-        n = len(RATE_BASES)
-        day = F.date_add(F.lit(CALENDAR_START).cast("date"), (F.col("id") / n).cast("int"))
-        base = pick([b for _, b in RATE_BASES], F.col("id") % n).cast(LEDGER_RATE)
+        """Daily rates by currency over the days of the orders; none on the 15th of a month, none for BRL."""
+        base = F.col("quoted.base").cast(LEDGER_RATE)
+        quoted = F.array(*[F.struct(F.lit(c).alias("cur"), F.lit(b).alias("base")) for c, b in RATE_BASES])
+        first, last = F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))
+        days = self.orders.agg(F.date_sub(first, RATE_MARGIN_DAYS).alias("first"), F.date_add(last, RATE_MARGIN_DAYS).alias("last"))
+        days = days.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("rate_date"))
         drift = (F.lit(1) + F.dayofmonth("rate_date") * F.lit("0.001").cast("decimal(6,3)")).cast("decimal(6,3)")
         return (
-            self.spark.range(CALENDAR_DAYS * n)
-            .select(pick([c for c, _ in RATE_BASES], F.col("id") % n).alias("rate_currency"), day.alias("rate_date"),
-                    base.alias("base"))
+            days.select("rate_date", F.explode(quoted).alias("quoted"))
+            .select(F.col("quoted.cur").alias("rate_currency"), "rate_date", base.alias("base"))
             .filter(F.dayofmonth("rate_date") != 15)
             .select("rate_currency", "rate_date", (F.col("base") * drift).cast(LEDGER_RATE).alias("rate"))
         )

@@ -1,8 +1,8 @@
 """Sinks. Each is a plain partitioned write that can be repeated safely after a failure.
 
-Rows are clustered by the partition columns before the write, so each target
-partition gets few, large files. A salt splits a partition that holds far more
-rows than the others over several writers.
+Rows are rebalanced by the partition columns before the write, so each target
+partition gets few, large files, and adaptive execution splits one that holds
+far more rows than the others over several writers, by size.
 """
 
 from __future__ import annotations
@@ -15,12 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _clustered(df: DataFrame, partition_by: Sequence[str], writers: int) -> DataFrame:
-    keys = [F.col(c) for c in partition_by]
-    if writers > 1:
-        row = F.xxhash64(*[F.col(c) for c in df.columns])
-        keys.append(F.pmod(row, F.lit(writers)))
-    return df.repartition(*keys)
+def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
 def conform(df: DataFrame, schema: str) -> DataFrame:
@@ -33,22 +29,22 @@ def conform(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
 
 
-def append_history(df: DataFrame, path: str, schema: str, partition_by: Sequence[str], writers: int = 1) -> None:
+def append_history(df: DataFrame, path: str, schema: str, partition_by: Sequence[str]) -> None:
     """Append to an accumulation table."""
     part = conform(df, schema)
-    _clustered(part, partition_by, writers).write.mode("append").partitionBy(*partition_by).parquet(path)
+    _clustered(part, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def truncate_reload(df: DataFrame, path: str, schema: str, partition_by: Sequence[str], writers: int = 1) -> None:
+def truncate_reload(df: DataFrame, path: str, schema: str, partition_by: Sequence[str]) -> None:
     """Clear the accumulation table and load it again."""
-    part = _clustered(conform(df, schema), partition_by, writers)
+    part = _clustered(conform(df, schema), partition_by)
     writer = part.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(path)
 
 
 def replace_batches(
     df: DataFrame, path: str, schema: str, batch_keys: Sequence[str] = ("brand", "batchid"),
-    partition_by: Sequence[str] | None = None, writers: int = 1,
+    partition_by: Sequence[str] | None = None,
 ) -> None:
     """Replace exactly the batches present in ``df``; all other batches stay.
 
@@ -67,15 +63,17 @@ def replace_batches(
         old = conform(df.sparkSession.read.schema(schema).parquet(path), schema)
         old = old.join(keys.select(*parts).distinct(), parts, "left_semi")
         new = replaced_batches(old, new, batch_keys, keys)
-    writer = _clustered(new, parts, writers).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = _clustered(new, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything has been written to ``path`` yet."""
+    """Whether anything has been written to ``path`` yet. Any failure but a missing path is raised, never read as absence."""
     try:
         spark.read.format("binaryFile").load(path).schema  # resolving the path is enough
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 
