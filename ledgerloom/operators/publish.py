@@ -50,6 +50,31 @@ def run_history_rows(
     return rows if run_type is None else rows.withColumn("run_type", F.lit(run_type))
 
 
+def finished_runs(
+    history: DataFrame, status: DataFrame, started: Column, stopped: Column, run_type: str | None = None
+) -> DataFrame:
+    """History rows of the days and companies a close has published, numbered on from the highest run id.
+
+    A day that was stopped gets no row, so it stays pending. Daily and
+    exception runs have histories of their own, each numbered from its own
+    highest id. There is one row per day and company, never per transaction.
+    """
+    done = status.filter(F.col("decision") == "publish").select("business_date", F.col("company").alias("brand_table"))
+    order = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("business_date", "brand_table"))
+    top = history.agg(F.coalesce(F.max("run_id"), F.lit(0)).alias("m"))
+    rows = done.select(
+        (order + top.scalar()).cast("int").alias("run_id"), started.alias("start_date"), stopped.alias("stop_date"),
+        F.col("business_date").alias("date_run"), "brand_table",
+    )
+    return rows if run_type is None else rows.withColumn("run_type", F.lit(run_type))
+
+
+def pending_days(history: DataFrame, days: DataFrame) -> DataFrame:
+    """Days and companies without a finished run, however early: a day that once failed comes back until it passes."""
+    done = history.filter(F.col("stop_date").isNotNull()).select(F.to_date("date_run").alias("business_date"), F.col("brand_table").alias("company"))
+    return days.select("business_date", "company").distinct().join(done, ["business_date", "company"], "left_anti")
+
+
 def next_dates(history: DataFrame, brand_table: str, source: DataFrame, source_ts: str) -> DataFrame:
     """Days still to run: after the last finished one, up to the day before the latest source day."""
     done = history.filter(F.col("stop_date").isNotNull() & (F.col("brand_table") == brand_table))

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import ci_equals
+from ledgerloom.functions.scalars import batch_id
 from ledgerloom.operators import controls as C
 from ledgerloom.operators import publish as P
 from ledgerloom.operators.relational import union
@@ -75,13 +76,42 @@ def close_days(
 ) -> DataFrame:
     """Run the close and return the gate decision per day and company.
 
-    ``skip_gates`` names the gates an override run leaves out. Publishing the
-    same days again replaces their batches.
+    ``skip_gates`` names the gates an override run leaves out. The batches of
+    all days closed are replaced: a day that passes gets its new lines, and
+    one that is stopped keeps none from an earlier run.
     """
     staged = with_balance_entries(stage_lines(lines, staging), limits)
     gates = C.gate_results(staged, days, source, J.SUSPENSE_ACCOUNT, limits, skip_gates)
     status = C.gate_status(gates)
-    replace_batches(common_rows(publishable(staged, status)), common, COMMON, partition_by=["brand", "batch_month"])
+    closed = days.select(
+        F.col("company").alias("brand"), batch_id("business_date").alias("batchid"),
+        F.date_format("business_date", "yyyy-MM").alias("batch_month"),
+    )
+    rows = common_rows(publishable(staged, status))
+    replace_batches(rows, common, COMMON, partition_by=["brand", "batch_month"], cleared=closed)
     return status
 
 
+def close_pending(
+    lines: DataFrame, days: DataFrame, source: DataFrame, history: DataFrame, staging: str, common: str,
+    started: Column, stopped: Column, limits: Mapping[str, int] = C.BALANCE_LIMITS, skip_gates: Collection[str] = (),
+    run_type: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Close the days and companies that have no finished run yet; the decisions, and the history rows to append.
+
+    A day that a gate stops is not in the new rows and so is pending again;
+    later days are not held up by it. Lines without a company belong to no
+    day that can be closed: ``orphan_lines`` counts them.
+    """
+    todo = P.pending_days(history, days)
+    own = lines.join(todo, ["business_date", "company"], "left_semi")
+    status = close_days(own, todo, source, staging, common, limits, skip_gates)
+    return status, P.finished_runs(history, status, started, stopped, run_type)
+
+
+def orphan_lines(lines: DataFrame) -> DataFrame:
+    """Lines without a day or company, by journal: no gate and no batch can hold them, so they are reported."""
+    lost = lines.filter(F.col("company").isNull() | F.col("business_date").isNull())
+    return lost.groupBy("journal").agg(F.count("*").alias("lines"), F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
+
+

@@ -219,14 +219,29 @@ def incremental_high_water_mark(r):
     return out.select(*[x for x in STATE.split() if x != "ts"], "run")
 
 
+@query("incremental_first_run", f"SELECT {cols(STATE.replace(' ts', ''))}, 'new' AS run FROM x_ledger", money="fx_rate revenue_usd")
+def incremental_first_run(r):
+    """Nothing is enriched yet, so there is no mark: the increment is a full run, and rows without a time are in it too."""
+    derived = ["fx_rate", "txn_type", "business_line", "settled_by", "tax_type", "revenue_usd"]
+    state = r.ledger.select(*r.ledger_raw.columns, *derived).withColumns({d: F.when(F.lit(False), c(d)) for d in derived})
+    state = state.withColumn("run", F.lit("old"))
+
+    def enrich(rows):
+        return E.enrich_ledger(rows.select(*r.ledger_raw.columns), r.rates).withColumn("run", F.lit("new"))
+
+    out = I.refresh_since_mark(state, enrich, created="ts", done="fx_rate")
+    return out.select(*[x for x in STATE.split() if x != "ts"], "run")
+
+
 FIRST, LAST = dt.date(1997, 1, 1), dt.date(1997, 12, 31)
+LAG_DAYS = 4  # reports of this binding are at most three days late
 BACKFILL = "business_date company journal account debit credit distref uniqueid docamt"
 
 
 @query("backfill_date_range", f"SELECT {cols(BACKFILL)} FROM x_all WHERE business_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}'",
        money="debit credit docamt", dates="business_date")
 def backfill_date_range(r):
-    return Roles.for_days(r, FIRST, LAST).all_lines.select(*BACKFILL.split())
+    return Roles.for_days(r, FIRST, LAST, LAG_DAYS).all_lines.select(*BACKFILL.split())
 
 
 @query("stream_enrich", """
@@ -235,6 +250,7 @@ FROM x_ledger GROUP BY 1, 2, 3, upper(txn_type)""", money="n revenue_usd tax_usd
 def stream_enrich(r):
     path, checkpoint = scratch_path(r.spark, "stream"), scratch_path(r.spark, "stream-log")
     live = Roles(r.spark, r.data_dir)
+    live.rates = r.rates  # the days of the rates come from the stored orders, not from the stream
     live.orders = file_stream(r.spark, r.data_dir, r.orders.schema, "orders.parquet")
     enriched = live.ledger.withColumn("month", F.date_format("date", "yyyy-MM"))
     kept = ["order_key", "company", "settled_by", "txn_type", "revenue_usd", "tax_usd", "month"]

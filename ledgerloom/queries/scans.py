@@ -62,6 +62,46 @@ def scan_business_day(r):
     )
 
 
+DAYS = (dt.date(1997, 3, 3), dt.date(1997, 3, 7))
+IN_DAYS = "BETWEEN DATE '1997-03-03' AND DATE '1997-03-07'"
+
+
+@query("scan_business_day_range", f"SELECT order_key, business_date, settled_by FROM x_days WHERE business_date {IN_DAYS}", dates="business_date")
+def scan_business_day_range(r):
+    return scans.scan_business_day(r.ledger, days=DAYS).select("order_key", "business_date", "settled_by")
+
+
+@query("scan_file_prefix_range", f"""
+SELECT order_key, l_linenumber, CAST(strptime(substr(file_name, 1, 8), '%Y%m%d') AS DATE) - 1 AS business_date FROM x_lines
+WHERE CAST(strptime(substr(file_name, 1, 8), '%Y%m%d') AS DATE) - 1 {IN_DAYS}""", dates="business_date")
+def scan_file_prefix_range(r):
+    return scans.scan_file_prefix(r.report_lines, days=DAYS).select("order_key", "l_linenumber", "business_date")
+
+
+@query("scan_file_exact_range", f"""
+SELECT order_key, CAST(initiation_date AS DATE) AS business_date, gross_minor
+FROM (SELECT *, 'STL-' || strftime(initiation_date, '%Y%m%d') || '.01.009.CSV' AS wanted FROM x_stmt_b) AS b
+WHERE ch = 'SB' AND file_name = wanted AND CAST(initiation_date AS DATE) {IN_DAYS}""", money="gross_minor", dates="business_date")
+def scan_file_exact_range(r):
+    return scans.scan_file_exact(r.statement_b, days=DAYS).select("order_key", "business_date", "gross_minor")
+
+
+@query("rejected_rows", """
+SELECT 'file name' AS reason, count(*) FILTER (order_key % 29 = 0) AS n FROM x_stmt_c
+UNION ALL SELECT 'amount', count(*) FILTER (order_key % 23 = 0) FROM x_stmt_c
+UNION ALL SELECT 'no company', count(*) FILTER (order_key % 37 = 0) FROM x_stmt_c""")
+def rejected_rows(r):
+    """Odd names, amounts and keys put into the card report are counted by reason, each."""
+    odd = r.statement_c.withColumns({
+        "file_name": F.when(c("order_key") % 29 == 0, "readme.txt").otherwise("20200101_report.csv"),
+        "processing_value": F.when(c("order_key") % 23 == 0, "abc").otherwise(c("processing_value")),
+        "company": F.when(c("order_key") % 37 != 0, c("company")),
+    })
+    return scans.rejected_rows(odd, {
+        "file name": scans.file_date("file_name").isNull(), "amount": scans.is_no_amount("processing_value"), "no company": c("company").isNull(),
+    })
+
+
 @query("scan_calendar_day", """
 SELECT event_id, event_type, CAST(value AS DECIMAL(15,2)) AS amount FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'""",
        money="amount")

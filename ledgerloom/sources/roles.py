@@ -293,15 +293,20 @@ class Roles(StarTables):
     def recon_c(self) -> DataFrame:
         return J.reconciled_c(self.ledger_days, self.rows_c)
 
-    def for_days(self, first: dt.date, last: dt.date) -> Roles:
+    def for_days(self, first: dt.date, last: dt.date, lag_days: int) -> Roles:
         """The same roles for the business dates ``first`` to ``last`` only.
 
-        Orders are first cut to a slightly wider range on the stored date, which
-        the Parquet reader can use; the exact cut is on the business date.
+        ``lag_days`` is how many days a business date may lie after or before
+        the order it reports on; the caller states it, as rows further apart
+        are not read. Orders are cut to that wider range on the stored date,
+        which the Parquet reader can use, lines to those orders before they
+        are grouped; the exact cut is on the business date.
         """
         part = Roles(self.spark, self.data_dir)
-        near = dt.timedelta(days=4)
+        near = dt.timedelta(days=lag_days)
         part.orders = scan_date_range(self.orders, "o_orderdate", between=(first - near, last + near))
+        wanted = part.orders.select(F.col("o_orderkey").alias("l_orderkey"))
+        part.lineitem = self.lineitem.join(wanted, "l_orderkey", "left_semi")
         for name in ("ledger_days", "rows_a", "rows_settlement", "rows_b", "rows_c"):
             setattr(part, name, within_days(getattr(part, name), first, last))
         return part

@@ -44,9 +44,13 @@ def truncate_reload(df: DataFrame, path: str, schema: str, partition_by: Sequenc
 
 def replace_batches(
     df: DataFrame, path: str, schema: str, batch_keys: Sequence[str] = ("brand", "batchid"),
-    partition_by: Sequence[str] | None = None,
+    partition_by: Sequence[str] | None = None, cleared: DataFrame | None = None,
 ) -> None:
-    """Replace exactly the batches present in ``df``; all other batches stay.
+    """Replace exactly the batches present in ``df``, and empty those listed in ``cleared``; all other batches stay.
+
+    ``cleared`` has the batch keys and the partition columns. Its batches lose
+    their old rows even where ``df`` brings no new ones; what is left of a
+    partition is written back, and a partition left empty is removed.
 
     Repeating the call with the same rows leaves the table as it was after the
     first, which is what makes a publish safe to retry.
@@ -58,13 +62,25 @@ def replace_batches(
     """
     new = conform(df, schema)
     parts = list(partition_by or batch_keys)
+    emptied = []
     if partition_by is not None and table_exists(df.sparkSession, path):
-        keys = new.select(*dict.fromkeys([*parts, *batch_keys])).distinct()
+        listed = list(dict.fromkeys([*parts, *batch_keys]))
+        keys = new.select(*listed)
+        keys = (keys if cleared is None else keys.union(cleared.select(*listed))).distinct()
         old = conform(df.sparkSession.read.schema(schema).parquet(path), schema)
         old = old.join(keys.select(*parts).distinct(), parts, "left_semi")
         new = replaced_batches(old, new, batch_keys, keys)
+        if cleared is not None:  # a row per partition of the batches listed, so as few as months are closed
+            emptied = cleared.select(*parts).distinct().join(new.select(*parts).distinct(), parts, "left_anti").collect()
     writer = _clustered(new, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(path)
+    for row in emptied:
+        _remove(df.sparkSession, "/".join([path, *[f"{c}={row[c]}" for c in parts]]))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -84,7 +84,7 @@ def test_backfill_is_the_union_of_its_days(spark):
     first, last = dt.date(1998, 3, 1), dt.date(1998, 3, 4)
 
     def lines(a, b):
-        return sorted(map(tuple, base.for_days(a, b).journal("a_sales").select(*shown).collect()), key=str)
+        return sorted(map(tuple, base.for_days(a, b, 4).journal("a_sales").select(*shown).collect()), key=str)
 
     days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
     assert lines(first, last) == sorted((x for d in days for x in lines(d, d)), key=str)
