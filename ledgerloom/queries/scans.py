@@ -62,8 +62,8 @@ def scan_business_day(r):
     )
 
 
-DAYS = (dt.date(1997, 3, 3), dt.date(1997, 3, 7))
-IN_DAYS = "BETWEEN DATE '1997-03-03' AND DATE '1997-03-07'"
+DAYS = (dt.date(1997, 3, 1), dt.date(1997, 3, 31))
+IN_DAYS = "BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'"
 
 
 @query("scan_business_day_range", f"SELECT order_key, business_date, settled_by FROM x_days WHERE business_date {IN_DAYS}", dates="business_date")

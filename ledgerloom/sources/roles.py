@@ -71,18 +71,25 @@ def every(n: int, key: str = "order_key", rest: int = 0) -> Column:
 class Roles(StarTables):
     # --- dimensions --------------------------------------------------------
 
+    @cached_property
+    def rate_days(self) -> tuple[dt.date | None, int]:
+        """First day and number of days with rates: one row read once, so that no lookup scans the orders for it again."""
+        first, last = self.orders.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+        if first is None:
+            return None, 0
+        return first - dt.timedelta(days=RATE_MARGIN_DAYS), (last - first).days + 1 + 2 * RATE_MARGIN_DAYS
+
     @cached_property
     def rates(self) -> DataFrame:
         """Daily rates by currency over the days of the orders; none on the 15th of a month, none for BRL."""
-        base = F.col("quoted.base").cast(LEDGER_RATE)
-        quoted = F.array(*[F.struct(F.lit(c).alias("cur"), F.lit(b).alias("base")) for c, b in RATE_BASES])
-        first, last = F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))
-        days = self.orders.agg(F.date_sub(first, RATE_MARGIN_DAYS).alias("first"), F.date_add(last, RATE_MARGIN_DAYS).alias("last"))
-        days = days.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("rate_date"))
+        n, (start, days) = len(RATE_BASES), self.rate_days
+        day = F.date_add(F.lit(start).cast("date"), (F.col("id") / n).cast("int"))
+        base = pick([b for _, b in RATE_BASES], F.col("id") % n).cast(LEDGER_RATE)
         drift = (F.lit(1) + F.dayofmonth("rate_date") * F.lit("0.001").cast("decimal(6,3)")).cast("decimal(6,3)")
         return (
-            days.select("rate_date", F.explode(quoted).alias("quoted"))
-            .select(F.col("quoted.cur").alias("rate_currency"), "rate_date", base.alias("base"))
+            self.spark.range(days * n)
+            .select(pick([c for c, _ in RATE_BASES], F.col("id") % n).alias("rate_currency"), day.alias("rate_date"),
+                    base.alias("base"))
             .filter(F.dayofmonth("rate_date") != 15)
             .select("rate_currency", "rate_date", (F.col("base") * drift).cast(LEDGER_RATE).alias("rate"))
         )
@@ -303,6 +310,7 @@ class Roles(StarTables):
         are grouped; the exact cut is on the business date.
         """
         part = Roles(self.spark, self.data_dir)
+        part.rates = self.rates
         near = dt.timedelta(days=lag_days)
         part.orders = scan_date_range(self.orders, "o_orderdate", between=(first - near, last + near))
         wanted = part.orders.select(F.col("o_orderkey").alias("l_orderkey"))
