@@ -136,7 +136,7 @@ def daily_close(r):
     staging, common = scratch_path(r.spark, "staged"), scratch_path(r.spark, "common")
     for _ in range(2):
         D.close_days(r.all_lines, required_days(r), card_days(r), staging, common)
-    return read_back(r, common).select(*COMMON_NAMES.split())
+    return read_back(r, common, D.COMMON).select(*COMMON_NAMES.split())
 
 
 # --- publication -----------------------------------------------------------
@@ -255,7 +255,7 @@ def stream_enrich(r):
     enriched = live.ledger.withColumn("month", F.date_format("date", "yyyy-MM"))
     kept = ["order_key", "company", "settled_by", "txn_type", "revenue_usd", "tax_usd", "month"]
     write_available(enriched.select(*kept), path, checkpoint, ["month"]).awaitTermination()
-    rows = read_back(r, path)
+    rows = read_back(r, path, enriched.select(*kept).schema)
     sums = {"n": F.lit(1), "revenue_usd": "revenue_usd", "tax_usd": "tax_usd"}
     return sum_by_label(rows, ["month", "company", "settled_by"], ["txn_type"], sums)
 

@@ -146,16 +146,9 @@ def daily_revenue(r):
     return out.withColumn("business_month", F.date_format("business_date", "yyyy-MM"))
 
 
-def read_back(r, path):
-    """Read a written table with its partition columns as text."""
-    spark = r.spark
-    infer = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(infer)
-    spark.conf.set(infer, "false")
-    try:
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.set(infer, before)
+def read_back(r, path, schema):
+    """Read a written table by its declared schema, which keeps partition columns as text."""
+    return r.spark.read.schema(schema).parquet(path)
 
 
 @query("sink_append_history", HISTORY_SQL, money="revenue_usd", dates="business_date")
@@ -166,7 +159,7 @@ def sink_append_history(r):
     for company in ("LMX1", "LBR2"):
         part = daily.filter(c("company") == company)
         sinks.append_history(part, path, HISTORY_TABLE, ["business_month"])
-    return read_back(r, path)
+    return read_back(r, path, HISTORY_TABLE)
 
 
 @query("sink_truncate_reload", HISTORY_SQL, money="revenue_usd", dates="business_date")
@@ -176,7 +169,7 @@ def sink_truncate_reload(r):
     daily = daily_revenue(r)
     sinks.append_history(daily, path, HISTORY_TABLE, ["business_month"])
     sinks.truncate_reload(daily, path, HISTORY_TABLE, ["business_month"])
-    return read_back(r, path)
+    return read_back(r, path, HISTORY_TABLE)
 
 
 @query("sink_replace_batch", """
@@ -188,7 +181,7 @@ def sink_replace_batch(r):
     """All batches are published, then one brand's batches are replaced, twice."""
     path, daily = scratch_path(r.spark, "common"), scratch_path(r.spark, "daily")
     sinks.append_history(daily_revenue(r), daily, HISTORY_TABLE, ["business_month"])
-    first = read_back(r, daily).select(
+    first = read_back(r, daily, HISTORY_TABLE).select(
         c("company").alias("brand"),
         F.concat(F.lit("ACL_"), F.date_format("business_date", "MMddyyyy")).alias("batchid"),
         F.concat("company", F.lit(" "), "settled_by").alias("distref"),
@@ -201,4 +194,4 @@ def sink_replace_batch(r):
     sinks.replace_batches(first, path, **by_month)
     for _ in range(2):
         sinks.replace_batches(second, path, **by_month)
-    return read_back(r, path)
+    return read_back(r, path, COMMON_TABLE)
