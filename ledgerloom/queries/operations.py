@@ -178,18 +178,34 @@ def incremental_next_dates(r):
     return P.next_dates(run_history(r), BRAND, r.statement_c, "update_date")
 
 
+@query("incremental_pending_days", """
+SELECT DISTINCT business_date, company FROM x_days WHERE extract(day FROM business_date) = 13""", dates="business_date")
+def incremental_pending_days(r):
+    """All days but the 13th of each month have finished; an earlier failure is pending however late the last run was."""
+    days = required_days(r)
+    stamp = c("business_date").cast("timestamp")
+    done = days.select(
+        F.lit(1).alias("run_id"), stamp.alias("start_date"), F.when(F.dayofmonth("business_date") != 13, stamp).alias("stop_date"),
+        c("business_date").alias("date_run"), c("company").alias("brand_table"),
+    )
+    return P.pending_days(done, days)
+
+
 @query("publish_run_history", f"""
 SELECT kind, CAST(top + row_number() OVER (PARTITION BY kind ORDER BY business_date) AS INTEGER) AS run_id, business_date AS date_run,
   '{BRAND}' AS brand_table, CASE kind WHEN 'exception' THEN 'EXCEPTION' END AS run_type
-FROM ({PENDING_SQL}) AS p, (SELECT max(run_id) AS top FROM ({RUNS_SQL}) AS h) AS m, (VALUES ('daily'), ('exception')) AS k(kind)""",
+FROM ({PENDING_SQL}) AS p, (SELECT 'daily' AS kind, max(run_id) AS top FROM ({RUNS_SQL}) AS h
+  UNION ALL SELECT 'exception', max(run_id) FROM ({RUNS_SQL}) AS h WHERE extract(day FROM date_run) = 7) AS m""",
        dates="date_run")
 def publish_run_history(r):
+    """An override run writes both histories, each numbered from its own highest id."""
     history = run_history(r)
+    overrides = history.filter(F.dayofmonth("date_run") == 7)
     pending = P.next_dates(history, BRAND, r.statement_c, "update_date")
     started = c("business_date").cast("timestamp")
     stopped = F.timestamp_add("HOUR", F.lit(1), started)
     daily = P.run_history_rows(history, pending, BRAND, started, stopped).withColumn("run_type", F.lit(None).cast("string"))
-    override = P.run_history_rows(history, pending, BRAND, started, stopped, run_type="EXCEPTION")
+    override = P.run_history_rows(overrides, pending, BRAND, started, stopped, run_type="EXCEPTION")
     shown = ["run_id", "date_run", "brand_table", "run_type"]
     return union([daily.select(F.lit("daily").alias("kind"), *shown), override.select(F.lit("exception").alias("kind"), *shown)])
 
