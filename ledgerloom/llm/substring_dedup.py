@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batches, cut, mix, shingles, signed, sorted_groups, word_hashes
+from ledgerloom.llm.common import batches, cut, mix, shingles, signed, whole_groups, word_hashes
 
 _FIRST = -(1 << 63)
 _PIECE = 256  # windows of a piece at most
@@ -168,30 +168,54 @@ def _pieces(window: int, gram: int, many: int):
     return run
 
 
+def _repeats_itself(words: list[bytes], window: int) -> bool:
+    n = len(words) - window + 1
+    return len({tuple(words[i : i + window]) for i in range(n)}) < n
+
+
+def seen_windows(pieces: list[list[bytes]], window: int) -> list[list[bool]]:
+    """For each window of each piece, in order, whether it occurs earlier: in a piece before, or further left in its own.
+
+    A piece is added to the automaton only for what it brings: not when all its windows are known, nor at the end.
+    """
+    automaton, out = SuffixAutomaton(), []
+    for at, words in enumerate(pieces):
+        flags = automaton.match(words, window) if at else [False] * len(words)
+        known = all(flags[window - 1 :])
+        if not known and (at < len(pieces) - 1 or _repeats_itself(words, window)):
+            flags = automaton.add(words, window)
+        out.append(flags[window - 1 :])
+    return out
+
+
 def _matched(window: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def ranges() -> Iterator[tuple]:
-            for group in sorted_groups(frames, ["key"]):
-                automaton, whole = SuffixAutomaton(), set()
-                for row in group.itertuples(index=False):
-                    if row.words is None or row.words in whole:
-                        yield row.d, row.h1, row.start, row.windows
-                        continue
-                    words = row.words.split()
-                    if len(group) == 1 and len(set(words)) == len(words):
-                        continue
-                    flags = automaton.match(words, window)[window - 1 :]
-                    if not all(flags):
-                        flags = automaton.add(words, window)[window - 1 :]
-                        whole.add(row.words)
-                    edges = np.flatnonzero(np.diff(np.array([False, *flags, False], dtype=np.int8)))
-                    for a, b in zip(edges[::2], edges[1::2]):
-                        yield row.d, row.h1, row.start + int(a), int(b - a)
+    def ranges(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        for frame in whole_groups(frames, ["key"]):
+            key = frame["key"].to_numpy()
+            edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+            d, h1, start, windows, words = (frame[c].tolist() for c in ("d", "h1", "start", "windows", "words"))
+            for a, b in zip(edges, edges[1:]):
+                fresh, known = [], set()
+                for i in range(a, b):
+                    if words[i] is None or words[i] in known:
+                        yield d[i], h1[i], start[i], windows[i]
+                    else:
+                        known.add(words[i])
+                        fresh.append(i)
+                pieces = [words[i].split() for i in fresh]
+                if len(pieces) == 1 and not _repeats_itself(pieces[0], window):
+                    continue
+                for i, flags in zip(fresh, seen_windows(pieces, window)):
+                    if True in flags:
+                        change = np.flatnonzero(np.diff(np.array([False, *flags, False], dtype=np.int8))).tolist()
+                        for x, y in zip(change[::2], change[1::2]):
+                            yield d[i], h1[i], start[i] + x, y - x
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
-        for r in ranges():
+        for r in ranges(frames):
             rows.append(r)
-            if len(rows) >= 10_000:
+            if len(rows) >= 20_000:
                 yield pd.DataFrame(rows, columns=["d", "h1", "start", "windows"])
                 rows = []
         yield pd.DataFrame(rows, columns=["d", "h1", "start", "windows"])
