@@ -9,8 +9,9 @@ To spread this over tasks without loss: sets with Jaccard similarity >= t share
 n - ceil(t n) + 1 of each, in any order of grams that holds for all; the order here is by hash, after grams that a
 bounded sample shows to be frequent (which is about speed only). In each bucket of a gram that several sets share an R-tree
 join finds the pairs that pass the bound and emits their local components, never the pairs. Sets so connected form a
-family; each family is joined once by R-tree with the whole texts, survivors verified exactly, and again
-only local components come out. Large buckets and families are cut into blocks, all pairs of which meet.
+family. In a family the join is repeated with as many groups as the set sizes need for a sharp bound, which splits it, and
+then once more with the whole texts, where survivors are verified exactly; again only local components come out.
+Large buckets and families are cut into blocks, all pairs of which meet.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from ledgerloom.llm.common import (
 
 #: Documents whose grams are counted to find frequent ones, and how many of those are kept: bounds of what is broadcast.
 SAMPLE, FREQUENT = 5_000, 20_000
+#: Bits of the filter that keeps texts without family out of a shuffle: a megabyte, whatever the input.
+FILTER_BITS = 1 << 23
 GROUPS, FINE_GROUPS, _LEAF, _FAN = 64, 256, 32, 16
 
 
@@ -40,6 +43,16 @@ def count_vector(grams: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount((mix(grams) % np.uint64(groups)).astype(np.int64), minlength=groups)
 
 
+def fine_groups(n: int) -> int:
+    """Groups for a set of n grams: a power of two, about one group for eight grams, and no fewer than the coarse ones."""
+    return GROUPS << max(0, (n - 1) // 512).bit_length()
+
+
+def fold(vector: np.ndarray, groups: int) -> np.ndarray:
+    """The count vector over fewer groups, a divisor of what it has."""
+    return vector.reshape(-1, groups).sum(axis=0)
+
+
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Smallest overlap with 100 x overlap >= percent x union, for set sizes a and b."""
     return -(-percent * (a + b) // (100 + percent))
@@ -78,10 +91,11 @@ def _may_match(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int) -
     return (bound >= needed) & near
 
 
-def tree_join(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray | None, percent: int, union: Union, accept=None) -> None:
-    """Unite rows whose count vectors, and accept if given, allow a link: pairs of left x right, or inside left where right is None.
+def tree_join(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray | None, percent: int, union: Union, accept=None, finer=None) -> None:
+    """Unite rows whose count vectors allow a link: pairs of left x right, or inside left where right is None.
 
-    Pairs already in one component are passed over: they can't change the result. Few rows are one leaf.
+    finer, if given, is a sharper test of all pairs of two leaves, accept one of a single pair. Pairs already in one
+    component are passed over: they can't change the result. Few rows are one leaf.
     """
     def leaves(x: np.ndarray, y: np.ndarray, same: bool) -> None:
         apart = union.label[x][:, None] != union.label[y][None, :]
@@ -90,7 +104,10 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np
         if not apart.any():
             return
         whole = (points, sizes, sizes)
-        for p, q in zip(*np.nonzero(_may_match(whole, x, whole, y, percent) & apart)):
+        hit = _may_match(whole, x, whole, y, percent) & apart
+        if finer is not None and hit.any():
+            hit &= finer(x, y)
+        for p, q in zip(*np.nonzero(hit)):
             u, v = x[p], y[q]
             if union.label[u] != union.label[v] and (accept is None or accept(u, v)):
                 union.add(np.array([u]), np.array([v]), at_once=True)
@@ -140,9 +157,10 @@ def _described(k: int, percent: int, frequent):
                     first = grams[:take]
                 out.append(
                     (n, int(signed(mix(grams).sum(keepdims=True))[0]) if n else 0, int(signed(np.bitwise_xor.reduce(mix(grams ^ np.uint64(77)), keepdims=True))[0]) if n else 0,
-                     count_vector(grams, GROUPS).astype("<u4").tobytes(), signed(first) if n else np.zeros(0, dtype=np.int64))
+                     count_vector(grams, GROUPS).astype("<u4").tobytes(), count_vector(grams, fine_groups(n)).astype("<u2").tobytes() if n else b"",
+                     signed(first) if n else np.zeros(0, dtype=np.int64))
                 )
-            yield pd.DataFrame(out, columns=["n_shingles", "h1", "h2", "point", "first"]).assign(doc_id=frame["doc_id"].to_numpy())
+            yield pd.DataFrame(out, columns=["n_shingles", "h1", "h2", "point", "fine", "first"]).assign(doc_id=frame["doc_id"].to_numpy())
 
     return run
 
@@ -211,6 +229,65 @@ def _in_buckets(percent: int):
     return run
 
 
+class _Folded:
+    """Fine vectors of a task's rows over any number of groups, folded when first asked for."""
+
+    def __init__(self, column: pd.Series, sizes: np.ndarray, percent: int):
+        self.vectors = [np.frombuffer(v, dtype="<u2").astype(np.int32) for v in column]
+        self.groups = np.array([len(v) for v in self.vectors])
+        self.sizes, self.percent = sizes, percent
+        self.kept: dict[tuple[int, int], np.ndarray] = {}
+
+    def over(self, row: int, groups: int) -> np.ndarray:
+        if (row, groups) not in self.kept:
+            self.kept[row, groups] = fold(self.vectors[row], groups)
+        return self.kept[row, groups]
+
+    def __call__(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        groups = int(min(self.groups[x].min(), self.groups[y].min()))
+        a, b = (np.stack([self.over(int(r), groups) for r in rows]) for rows in (x, y))
+        bound = np.stack([np.minimum(row, b).sum(axis=1) for row in a])
+        return bound >= _needed(self.sizes[x][:, None], self.sizes[y][None, :], self.percent)
+
+
+def _in_coarse_families(percent: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in sorted_groups(frames, ["family", "i", "j"]):
+            left, right = _halves(frame)
+            if not len(left) or (right is not None and not len(right)):
+                continue
+            sizes = frame["n_shingles"].to_numpy()
+            finer = _Folded(frame["fine"], sizes, percent)
+            points = np.stack([fold(v, GROUPS) for v in finer.vectors])
+            union = Union(len(frame))
+            tree_join(points, sizes, left, right, percent, union, finer=finer)
+            out = _star(frame["rep"].to_numpy(), union)
+            if len(out):
+                yield out
+
+    return run
+
+
+def _member_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS):
+    """A test that is true for every id of a frame and false for most others, from a bitmap of fixed size.
+
+    With very many ids it lets more pass and so saves less; it never keeps an id of the frame out.
+    """
+    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    words = ids.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64) as int))").alias("b"))
+    bitmap = np.zeros(bits // 64, dtype=np.uint64)
+    for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
+        bitmap[r["w"]] = np.int64(r["b"]).view(np.uint64)
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def holds(hashes: pd.Series) -> pd.Series:
+        h = hashes.to_numpy().astype(np.int64) % bits
+        return pd.Series((shared.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return holds
+
+
 def _in_families(k: int, percent: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in sorted_groups(frames, ["family", "i", "j"]):
@@ -271,7 +348,7 @@ def jaccard_join(
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(_frequent_grams(own, k))
-    schema = "n_shingles long, h1 long, h2 long, point binary, first array<long>, doc_id long"
+    schema = "n_shingles long, h1 long, h2 long, point binary, fine binary, first array<long>, doc_id long"
     sets = cut(own.mapInPandas(_described(k, percent, frequent), schema))
     reps = sets.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep")).where("rep is not null")
     reps = cut(reps)
@@ -281,9 +358,17 @@ def jaccard_join(
     points = one.select(F.col("doc_id").alias("rep"), "n_shingles", "point")
     tasks = shared.join(points, "rep").select("gram", "i", "j", "block", "rep", "n_shingles", "point")
     stars = tasks.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j").mapInPandas(_in_buckets(percent), "src long, dst long")
-    families = cut(components(stars)).select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    coarse = components(stars).select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    fine = sets.select(F.col("doc_id").alias("rep"), "n_shingles", "fine")
+    split = (
+        block_tasks(coarse, ["family"], "rep", block_rows).join(fine, "rep").select("family", "i", "j", "block", "rep", "n_shingles", "fine")
+        .repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+        .mapInPandas(_in_coarse_families(percent), "src long, dst long")
+    )
+    families = components(split).select(F.col("node").alias("rep"), F.col("component").alias("family"))
     dealt = block_tasks(families, ["family"], "rep", text_rows)
-    texts = own.join(dealt, F.col("doc_id") == F.col("rep")).select("family", "i", "j", "block", "rep", "text")
+    in_family = _member_filter(families, "rep")
+    texts = own.where(in_family(F.xxhash64("doc_id"))).join(dealt, F.col("doc_id") == F.col("rep")).select("family", "i", "j", "block", "rep", "text")
     verified = (
         texts.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
         .mapInPandas(_in_families(k, percent), "src long, dst long")
