@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: A word is a run of bytes other than blank, \t, \n, \v, \f and \r: what bytes.split() gives.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_CHUNK = 1 << 20  # bytes hashed at once
+_CHUNK = 1 << 18  # bytes hashed at once
 _LONG = 512  # longer words get xxHash64, as a polynomial modulo 2**64 is weak on very long ones
 _BASE = 0x9E3779B97F4A7C15 | 5
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -70,7 +70,7 @@ def _hash_block(block: bytes, starts_of: np.ndarray) -> tuple[np.ndarray, np.nda
 def word_hashes(texts: Iterable[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of some texts, and offsets: text i has words offsets[i]:offsets[i + 1].
 
-    lower: A-Z are lower-cased first. Texts of any length are hashed in blocks of about a megabyte.
+    lower: A-Z are lower-cased first. Texts of any length are hashed in blocks of about a quarter of a megabyte.
     """
     pieces: list[tuple[int, bytes]] = []
     n = 0
@@ -227,6 +227,16 @@ class Union:
         self.waiting, self.size = [], 0
 
 
+def text_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Send texts to Python tasks in batches of so many rows at most: Spark's 10,000 whole texts at once fill a worker's memory.
+
+    The setting has to last until the lazy plan runs, so it stays in the session.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def shared_folder(spark: SparkSession) -> None:
     """Make sure that checkpoints have a folder: spark.checkpoint.dir, or a local one where a local session sets none."""
     context = spark.sparkContext

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import shingles, words
+from ledgerloom.llm.common import shingles, text_batches, words
 
 # Words for numbers and units.
 NUMBERS = (
@@ -172,6 +172,7 @@ def match_benchmark(
     document meets every shard.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("t")).where("item is not null and t is not null")
     size = F.sum(F.size(F.split(F.trim("t"), r"\s+")).cast("long"))
     n = items.agg(F.coalesce(size, F.lit(0))).first()[0]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import cut
+from ledgerloom.llm.common import cut, text_batches
 
 #: Labelled rows used at most: above this, those with the smallest hash of their id, in expectation.
 TRAINING_ROWS = 400_000
@@ -173,6 +173,7 @@ def score_quality(
     is scored from its whole text. A null or empty text has all statistics 0 and is scored by them. Repeated rows get
     equal scores; null ids are scored and not held out. Columns of docs with the new names are replaced.
     """
+    text_batches(docs.sparkSession)
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out_by_id(F.col("doc_id")))
         .groupBy(F.col("doc_id").alias("__id"))

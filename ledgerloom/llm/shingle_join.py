@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
-    Roots, Union, batches, block_tasks, components, cut, mix, shingles, signed, sorted_groups, whole_groups, word_hashes,
+    Roots, Union, batches, block_tasks, components, cut, mix, shingles, signed, sorted_groups, text_batches, whole_groups, word_hashes,
 )
 
 #: Documents whose grams are counted to find frequent ones, and how many of those are kept: bounds of what is broadcast.
@@ -346,6 +346,7 @@ def jaccard_join(
     compared by 64-bit hashes, whole sets by 128 bits. Extra columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(_frequent_grams(own, k))
     schema = "n_shingles long, h1 long, h2 long, point binary, fine binary, first array<long>, doc_id long"
