@@ -195,6 +195,30 @@ def test_pseudo_likelihood_is_a_sum_over_words(make_docs):
     assert pseudo_likelihood.score_pseudo_likelihood(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("known", [1 << 20, 40, 0])
+def test_words_of_a_class_have_their_own_counts(make_docs, monkeypatch, known):
+    monkeypatch.setattr(pseudo_likelihood, "KNOWN", known, raising=False)
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(pseudo_likelihood.FREQUENT)]
+    rows = [(i, " ".join(common)) for i in range(60)]
+    rows += [(i, " ".join(f"r{min(rng.randrange(900), rng.randrange(900))}" for _ in range(rng.randrange(1, 60)))) for i in range(60, 160)]
+    rows += [(200, rows[70][1]), (None, rows[70][1]), (201, None), (202, "")]
+    docs = make_docs(rows)
+    out = {r.doc_id: r for r in pseudo_likelihood.score_pseudo_likelihood(docs).collect()}
+    words = pseudo_likelihood.vocabulary(docs, "text")
+    network = pseudo_likelihood.train(docs, "text", "doc_id", words)
+    all_words = np.concatenate([word_hashes([t])[0] for _, t in rows])
+    n = dict(zip(*(x.tolist() for x in np.unique(all_words, return_counts=True))))
+    of_class = np.bincount(words.ids(all_words), minlength=words.size)
+    for i, text in rows:
+        hashes, offsets = word_hashes([text])
+        ids = words.ids(hashes)
+        total = network.log_probabilities(pseudo_likelihood.windows(ids, offsets, words.size), ids).sum() if len(ids) else 0
+        total += sum(np.log(n[h] / of_class[k]) for h, k in zip(hashes.tolist(), ids.tolist()) if k >= pseudo_likelihood.FREQUENT)
+        assert out[i].n_words == len(ids) and abs(out[i].score - total) < 1e-2
+    assert len(out) == len(rows) and out[200].score == out[None].score == out[70].score
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7), (None, 3), (200, 201), (201, 202), (200, 202)]
     out = {r.node: r.component for r in components(spark.createDataFrame(edges, "src long, dst long")).collect()}
