@@ -219,6 +219,17 @@ def test_words_of_a_class_have_their_own_counts(make_docs, monkeypatch, known):
     assert len(out) == len(rows) and out[200].score == out[None].score == out[70].score
 
 
+@pytest.mark.parametrize("every_round", [1_000_000, 0])
+def test_all_documents_train(make_docs, monkeypatch, every_round):
+    monkeypatch.setattr(pseudo_likelihood, "EVERY_ROUND", every_round, raising=False)
+    docs = make_docs([(i, f"a r{i} r{i} b" if i < 300 else "a b") for i in range(6000)])
+    words = pseudo_likelihood.vocabulary(docs, "text")
+    network = pseudo_likelihood.train(docs, "text", "doc_id", words)
+    own = words.ids(word_hashes([" ".join(f"r{i}" for i in range(300))])[0])
+    moved = (network.inputs != pseudo_likelihood.Network.start(words).inputs).any(axis=2)
+    assert (own < pseudo_likelihood.FREQUENT).all() and moved[2][own].all() and moved[3][own].all()
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7), (None, 3), (200, 201), (201, 202), (200, 202)]
     out = {r.node: r.component for r in components(spark.createDataFrame(edges, "src long, dst long")).collect()}
