@@ -42,12 +42,17 @@ _REMEMBERED = 400_000
 MATCH = "array<struct<item_id:long,start:int,n_words:int,changed:int>>"
 
 
+#: Different literal words of a template that is shorter than a window, and different words of an item that is met word by word.
+FEW = 3
+
+
 @dataclass
 class Word:
-    """Hashes of both canonical forms, and the slot's type ('' for a literal word) and value."""
+    """Hashes of the canonical forms and of the word itself, the slot's type ('' for a literal word) and value."""
 
     plain: int
     named: int
+    raw: int
     kind: str
     value: bytes
 
@@ -55,15 +60,15 @@ class Word:
 def canonical(word: bytes) -> Word:
     core = word.strip(_MARKS)
     low = core.decode(errors="replace").lower().encode()
+    plain = xxhash.xxh64_intdigest(low)
     if _NUMBER.fullmatch(core.decode(errors="replace")) or low in _SPELLED:
-        return Word(1, 1, "number", low.replace(b",", b""))
+        return Word(1, 1, plain, "number", low.replace(b",", b""))
     if low in _UNITS:
-        return Word(2, 2, "unit", low)
-    plain = xxhash.xxh64_intdigest(low)
+        return Word(2, 2, plain, "unit", low)
     text = core.decode(errors="replace")
     if text[:1].isupper() and text[1:].islower():
-        return Word(plain, 3, "name", low)
-    return Word(plain, plain, "", low)
+        return Word(plain, 3, plain, "name", low)
+    return Word(plain, plain, plain, "", low)
 
 
 class Canonical:
@@ -84,77 +89,132 @@ class Canonical:
         return out
 
 
+class Sequence:
+    """The words of a text in one form."""
+
+    def __init__(self, own: list[Word], form: str):
+        self.own, self.form = own, form
+        self.hashes = np.array([getattr(w, form) for w in own], dtype=np.uint64)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def slot(self, at: int) -> tuple[str, bytes] | None:
+        """Type and value where this form has a slot."""
+        w = self.own[at]
+        return (w.kind, w.value) if w.kind and (self.form == "named" or w.kind != "name") else None
+
+    def words(self, start: int, end: int) -> tuple[int, int]:
+        """Where a run begins and ends in words of the text."""
+        return start, end
+
+
+FORMS = ("plain", "named", "raw")
+
+
 @dataclass
 class Index:
-    """Hashed windows of some benchmark items, by form: sorted hashes with the item and start of each."""
+    """Hashed windows of some benchmark items, by form, width and whether the whole item has to match: sorted hashes with the item and start of each."""
 
     window: int
-    items: dict[int, list[Word]] = field(default_factory=dict)
-    tables: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    items: dict[tuple[int, str], Sequence] = field(default_factory=dict)
+    tables: dict[tuple[str, int, bool], tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    ids: list[int] = field(default_factory=list)
 
     @staticmethod
     def build(texts: list[tuple[int, str]], window: int, literals: int) -> "Index":
-        """Items shorter than the window are one window of their own length, if it has enough literal words."""
+        """Windows with enough literal words stand for themselves. An item with other windows, or shorter than one, is also sought as a whole,
+        by its window of most literal words; and its other windows are sought word by word if their words differ enough."""
         index, rows, read = Index(window), {}, Canonical()
-        for item, text in texts:
-            index.items[item] = own = read(words(text))
-            width = min(window, len(own))
-            for form in ("plain", "named"):
-                for start in range(len(own) - width + 1 if width else 0):
-                    part = own[start : start + width]
-                    literal = {w.value for w in part if not w.kind or (form == "plain" and w.kind == "name")}
-                    if len(literal) >= literals:
-                        rows.setdefault((form, width), []).append((item, start))
-        for (form, width), places in rows.items():
-            hashes = np.array([_hash([getattr(w, form) for w in index.items[i][s : s + width]], width)[0] for i, s in places], dtype=np.uint64)
+        for number, (_, text) in enumerate(texts):
+            own = read(words(text))
+            for form in FORMS:
+                index.items[number, form] = seq = Sequence(own, form)
+                width = min(window, len(seq))
+                if not width:
+                    continue
+                literal = [{int(seq.hashes[i]) for i in range(s, s + width) if not seq.slot(i)} for s in range(len(seq) - width + 1)]
+                if form == "raw":
+                    seen = [{int(h) for h in seq.hashes[s : s + width]} for s in range(len(literal))]
+                    # the plain form has the other windows
+                    strong = [s for s in range(len(literal)) if literal[s] and len(literal[s]) < literals <= len(seen[s])]
+                    whole = min(map(len, literal)) < literals and len({int(h) for h in seq.hashes}) >= FEW
+                else:
+                    strong = [s for s in range(len(literal)) if len(literal[s]) >= literals]
+                    own_words = len({int(h) for i, h in enumerate(seq.hashes) if not seq.slot(i)})
+                    whole = len(strong) < len(literal) and own_words >= (FEW if len(seq) < window else 1)
+                for s in strong:
+                    rows.setdefault((form, width, False), []).append((number, s))
+                if whole:
+                    rows.setdefault((form, width, True), []).append((number, max(range(len(literal)), key=lambda s: len(literal[s]))))
+        index.ids = [item for item, _ in texts]
+        for (form, width, whole), places in rows.items():
+            hashes = np.array([_hash(index.items[i, form].hashes[s : s + width], width)[0] for i, s in places], dtype=np.uint64)
             order = np.argsort(hashes, kind="stable")
-            index.tables[form, width] = hashes[order], np.array([p[0] for p in places])[order], np.array([p[1] for p in places])[order]
+            index.tables[form, width, whole] = hashes[order], np.array([p[0] for p in places])[order], np.array([p[1] for p in places])[order]
         return index
 
     def matches(self, own: list[Word]) -> list[dict]:
         """Longest consistent runs of windows, by item: item_id, start, n_words, and how many slots have other values."""
-        hits: dict[tuple[int, int], set[tuple[int, str, int]]] = {}
-        for (form, width), (hashes, items, starts) in self.tables.items():
-            if len(own) < width:
+        hits: dict[tuple[int, str, int], set[tuple[int, int]]] = {}
+        seqs: dict[str, Sequence] = {}
+        shingled: dict[tuple[str, int], np.ndarray] = {}
+        for (form, width, whole), (hashes, items, starts) in self.tables.items():
+            if form not in seqs:
+                seqs[form] = Sequence(own, form)
+            if len(seqs[form]) < width:
                 continue
-            got = _hash([w.plain for w in own] if form == "plain" else [w.named for w in own], width)
+            if (form, width) not in shingled:
+                shingled[form, width] = _hash(seqs[form].hashes, width)
+            got = shingled[form, width]
             left = np.searchsorted(hashes, got)
             for at in np.flatnonzero(hashes[np.minimum(left, len(hashes) - 1)] == got):
                 k = left[at]
                 while k < len(hashes) and hashes[k] == got[at]:
-                    hits.setdefault((int(items[k]), int(at) - int(starts[k])), set()).add((int(at), form, width))
+                    shift, size = int(at) - int(starts[k]), len(self.items[items[k], form])
+                    if not whole:
+                        hits.setdefault((int(items[k]), form, shift), set()).add((int(at), width))
+                    elif shift >= 0 and shift + size <= len(seqs[form]):
+                        hits.setdefault((int(items[k]), form, shift), set()).add((shift, size))
                     k += 1
+        runs: dict[int, list[tuple[int, int, int]]] = {}
+        for (item, form, shift), places in hits.items():
+            runs.setdefault(item, []).extend(self._runs(seqs[form], self.items[item, form], shift, sorted(places, key=lambda p: (p[0], -p[1]))))
         out = []
-        for (item, shift), places in sorted(hits.items()):
-            out += self._runs(own, item, shift, sorted(places))
-        return out
+        for item, found in runs.items():
+            kept: list[tuple[int, int, int]] = []
+            for start, end, changed in sorted(found, key=lambda r: (r[0], -r[1], r[2])):
+                if all(end > e for _, e, _ in kept):  # else it lies in one that begins no later
+                    kept.append((start, end, changed))
+            out += [{"item_id": self.ids[item], "start": s, "n_words": e - s, "changed": c} for s, e, c in kept]
+        return sorted(out, key=lambda m: (m["item_id"], m["start"], m["n_words"], m["changed"]))
 
-    def _runs(self, own: list[Word], item: int, shift: int, places: list[tuple[int, str, int]]) -> list[dict]:
+    @staticmethod
+    def _runs(own: Sequence, item: Sequence, shift: int, places: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         runs, start, end, there, back = [], -1, -1, {}, {}
 
         def close() -> None:
             if end > start >= 0:
-                changed = sum(a != b for a, b in there.items())
-                runs.append({"item_id": item, "start": start, "n_words": end - start, "changed": changed})
+                runs.append((*own.words(start, end), sum(a != b for a, b in there.items())))
 
-        for at, form, width in places:
-            pairs = [(own[i], self.items[item][i - shift]) for i in range(at, at + width)]
-            if any(getattr(x, form) != getattr(y, form) for x, y in pairs):
+        for at, width in places:
+            if (own.hashes[at : at + width] != item.hashes[at - shift : at - shift + width]).any():
                 continue
-            slots = {((y.kind, y.value), (x.kind, x.value)) for x, y in pairs if y.kind and (form == "named" or y.kind != "name")}
-            if at > end:
-                close()
-                start, end, there, back = at, at, {}, {}
-            new_there, new_back = dict(there), dict(back)
+            slots = {(y, own.slot(i)) for i in range(at, at + width) if (y := item.slot(i - shift))}
+            fresh = at > end
+            new_there, new_back = ({}, {}) if fresh else (dict(there), dict(back))
             if not all(new_there.setdefault(y, x) == x and new_back.setdefault(x, y) == y for y, x in slots):
                 continue
+            if fresh:
+                close()
+                start = at
             there, back, end = new_there, new_back, max(end, at + width)
         close()
         return runs
 
 
-def _hash(values: list[int], width: int) -> np.ndarray:
-    return shingles(np.array(values, dtype=np.uint64), width)
+def _hash(values: np.ndarray, width: int) -> np.ndarray:
+    return shingles(values, width)
 
 
 _READER = Canonical()
@@ -165,8 +225,9 @@ def match_benchmark(
 ) -> DataFrame:
     """All columns of docs with matches: an array of (item_id, start, n_words, changed), in words of the document; empty for a clean document.
 
-    A window needs `literals` different words that are no slots. Items with null id or text, without words, or with
-    too few literals match nothing; items with equal text all match. Null and empty documents have no matches. A
+    A window with `literals` different words that are no slots matches by itself. One with fewer matches word by word if `literals` of its words differ,
+    and its whole item does with all slots consistent; an item shorter than a window has to have FEW different literal words for that, or FEW different
+    words for a match word by word. Items with null id or text, or below that, match nothing; items with equal text all match. Null and empty documents have no matches. A
     column of docs named matches is replaced. Rows are judged one by one from whole texts; repeated rows and empty tables are nothing
     special. The benchmark is taken in shards of a bounded number of windows, each broadcast; every
     document meets every shard.

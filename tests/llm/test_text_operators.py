@@ -159,6 +159,18 @@ def test_inconsistent_slots_do_not_match(spark, make_docs):
     assert got[1] == [16] and max(got[2]) < 16
 
 
+def test_items_of_few_literals_match_as_a_whole(spark, make_docs):
+    items = [
+        (1, "What is 17 times 24?"), (2, "What is the capital of France?"), (3, "Compute 12 + 34 + 5 + 61 + 7 + 80 + 9 + 44 + 3"), (4, "Name three primes"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, f"so: {t} indeed") for i, t in items]
+    rows += [(11, "so: What is 6 times 95? yes"), (12, "and What is the capital of Spain? yes"), (13, "Compute 2 + 4 + 50 + 1 + 70 + 8 + 99 + 14 + 31"), (14, "Name seven primes")]
+    rows += [(21, "What is 6 plus 95?"), (23, "Compute 2 + 4 + 4 + 1 + 70 + 8 + 99 + 14 + 31"), (24, "3 + 3 + 3 + 3 + 3 + 3 + 3 + 3")]
+    got = {r.doc_id: [(m.item_id, m.n_words) for m in r.matches] for r in decontaminate.match_benchmark(make_docs(rows), bench).collect()}
+    assert got == {1: [(1, 5)], 2: [(2, 6)], 3: [(3, 18)], 4: [(4, 3)], 11: [(1, 5)], 12: [(2, 6)], 13: [(3, 18)], 14: [], 21: [], 23: [], 24: []}
+
+
 def test_decontamination_in_shards(spark, make_docs, monkeypatch):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     rows = [(1, BENCH[0][1]), (2, BENCH[1][1]), (3, "clean")]
