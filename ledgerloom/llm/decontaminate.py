@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates.
 
 Words become canonical: lower case without marks at their ends, and a typed placeholder for numbers and units, in a
-second form for names (capitalised words) too. Windows of canonical words are joined by hash with those of the
+second form for names (capitalised words, a run of them as one) too; a number and unit in one word are two slots. Windows of canonical words are joined by hash with those of the
 benchmark. A pair of windows counts only if its words agree and its slots are consistent: over the whole run of windows each
 value of the benchmark stands for one value of the document, and different values for different ones. So a question is
 also caught when its numbers, names and units were changed.
@@ -34,6 +34,10 @@ UNITS = (
 
 _MARKS = b" .,;:!?\"'()[]{}<>*#$%&|_-`~"
 _NUMBER = re.compile(r"[+-]?\d[\d.,/:]*")
+_JOINED = re.compile(r"([+-]?\d[\d.,/:]*)([^\W\d_]+)")
+_ORDINAL, _HALVES = {b"st", b"nd", b"rd", b"th"}, {b"am", b"pm"}
+_SPELLED_ORDINAL = set(b"first second third fourth fifth sixth seventh eighth ninth".split())
+_ENDS = set(b.to_bytes() for b in b".,;:!?")
 _SPELLED, _UNITS = {n.encode() for n in NUMBERS}, {u.encode() for u in UNITS}
 #: Benchmark windows of one broadcast; a larger benchmark is taken in that many windows at a time.
 SHARD_WINDOWS = 500_000
@@ -48,36 +52,57 @@ FEW = 3
 
 @dataclass
 class Word:
-    """Hashes of the canonical forms and of the word itself, the slot's type ('' for a literal word) and value."""
+    """Hashes of the canonical forms and of the word itself, the slot's type ('' for a literal word) and value, and whether a mark ends a name here."""
 
     plain: int
     named: int
     raw: int
     kind: str
     value: bytes
+    ends: bool = False
 
 
-def canonical(word: bytes) -> Word:
+def _slot(code: int, kind: str, value: bytes) -> Word:
+    return Word(code, code, xxhash.xxh64_intdigest(value), kind, value)
+
+
+def canonical(word: bytes) -> tuple[Word, ...]:
+    """One word, or a number and its unit written as one."""
     core = word.strip(_MARKS)
-    low = core.decode(errors="replace").lower().encode()
-    plain = xxhash.xxh64_intdigest(low)
-    if _NUMBER.fullmatch(core.decode(errors="replace")) or low in _SPELLED:
-        return Word(1, 1, plain, "number", low.replace(b",", b""))
-    if low in _UNITS:
-        return Word(2, 2, plain, "unit", low)
     text = core.decode(errors="replace")
-    if text[:1].isupper() and text[1:].islower():
-        return Word(plain, 3, plain, "name", low)
-    return Word(plain, plain, plain, "", low)
+    low = text.lower().encode()
+    if _NUMBER.fullmatch(text) or low in _SPELLED:
+        return (_slot(1, "number", low.replace(b",", b"")),)
+    if low in _UNITS:
+        return (_slot(2, "unit", low),)
+    joined = _JOINED.fullmatch(text.lower())
+    if joined:
+        number, unit = (x.encode() for x in joined.groups())
+        if unit in _ORDINAL:
+            return (_slot(1, "number", low),)
+        if unit in _UNITS or unit in _HALVES:
+            return _slot(1, "number", number.replace(b",", b"")), _slot(2, "unit", unit)
+    parts = low.split(b"-")
+    numeral = [bool(_NUMBER.fullmatch(p.decode(errors="replace"))) or p in _SPELLED for p in parts]
+    if len(parts) > 1 and all(numeral[:-1]):
+        if numeral[-1] or parts[-1] in _SPELLED_ORDINAL:
+            return (_slot(1, "number", low),)
+        if parts[-1] in _UNITS:
+            return _slot(1, "number", b"-".join(parts[:-1])), _slot(2, "unit", parts[-1])
+    plain = xxhash.xxh64_intdigest(low)
+    if text[:1].isupper() and len(text) > 1:
+        ends = word.rstrip(b"\"')]}*_")[-1:] in _ENDS and len(text) > 2  # not an initial or a short title
+        return (Word(plain, 3, plain, "name", low, ends),)
+    return (Word(plain, plain, plain, "", low),)
 
 
 class Canonical:
     """Canonical words with those met before remembered, up to a bound."""
 
     def __init__(self):
-        self.known: dict[bytes, Word] = {}
+        self.known: dict[bytes, tuple[Word, ...]] = {}
 
-    def __call__(self, items: list[bytes]) -> list[Word]:
+    def __call__(self, items: list[bytes]) -> list[tuple[Word, ...]]:
         known, out = self.known, []
         for w in items:
             got = known.get(w)
@@ -90,23 +115,38 @@ class Canonical:
 
 
 class Sequence:
-    """The words of a text in one form."""
-
-    def __init__(self, own: list[Word], form: str):
-        self.own, self.form = own, form
-        self.hashes = np.array([getattr(w, form) for w in own], dtype=np.uint64)
+    """The words of a text in one form; in the named form a run of names is one."""
+
+    def __init__(self, read: list[tuple[Word, ...]], form: str):
+        self.form = form
+        self.own = [w for parts in read for w in parts]
+        self.hashes = np.array([getattr(w, form) for w in self.own], dtype=np.uint64)
+        at = np.arange(len(read)) if len(self.own) == len(read) else np.repeat(np.arange(len(read)), [len(parts) for parts in read])
+        self.first, self.edges = at, None
+        if form == "named":
+            name = self.hashes == 3
+            goes_on = np.flatnonzero(name[1:] & name[:-1]) + 1
+            goes_on = [i for i in goes_on.tolist() if not self.own[i - 1].ends]
+            if goes_on:
+                stays = np.delete(np.arange(len(self.own)), goes_on)
+                self.edges = np.append(stays, len(self.own))
+                self.hashes, self.first = self.hashes[stays], at[stays]
+        self.last = at if self.edges is None else at[self.edges[1:] - 1]
 
     def __len__(self) -> int:
         return len(self.hashes)
 
     def slot(self, at: int) -> tuple[str, bytes] | None:
         """Type and value where this form has a slot."""
-        w = self.own[at]
-        return (w.kind, w.value) if w.kind and (self.form == "named" or w.kind != "name") else None
+        if self.edges is None:
+            w = self.own[at]
+            return (w.kind, w.value) if w.kind and (self.form == "named" or w.kind != "name") else None
+        parts = self.own[self.edges[at] : self.edges[at + 1]]
+        return (parts[0].kind, b" ".join(w.value for w in parts)) if parts[0].kind else None
 
     def words(self, start: int, end: int) -> tuple[int, int]:
         """Where a run begins and ends in words of the text."""
-        return start, end
+        return int(self.first[start]), int(self.last[end - 1]) + 1
 
 
 FORMS = ("plain", "named", "raw")
@@ -154,7 +194,7 @@ class Index:
             index.tables[form, width, whole] = hashes[order], np.array([p[0] for p in places])[order], np.array([p[1] for p in places])[order]
         return index
 
-    def matches(self, own: list[Word]) -> list[dict]:
+    def matches(self, own: list[tuple[Word, ...]]) -> list[dict]:
         """Longest consistent runs of windows, by item: item_id, start, n_words, and how many slots have other values."""
         hits: dict[tuple[int, str, int], set[tuple[int, int]]] = {}
         seqs: dict[str, Sequence] = {}

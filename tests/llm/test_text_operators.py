@@ -171,6 +171,21 @@ def test_items_of_few_literals_match_as_a_whole(spark, make_docs):
     assert got == {1: [(1, 5)], 2: [(2, 6)], 3: [(3, 18)], 4: [(4, 3)], 11: [(1, 5)], 12: [(2, 6)], 13: [(3, 18)], 14: [], 21: [], 23: [], 24: []}
 
 
+def test_slots_inside_words_and_names_of_several_words(spark, make_docs):
+    items = [
+        (1, "put 5kg of sand near 7kg of lime then add 9kg of clay on the 3rd day at 12am sharp"),
+        (2, "John Smith pays for twenty-one loaves while John Smith sells NASA some pies that McDonald made with Anna Maria Berg today"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, "put 50kg of sand near 8kg of lime then add 2lb of clay on the 3rd day".replace("2lb", "2 kg") + " at 11pm sharp"),
+        (2, "so: Ann pays for seven loaves while Ann sells O'Brien some pies that ESA made with Bo today"),
+        (3, "put a 5kgx of sand near the lime"),
+    ]
+    got = {r.doc_id: [(m.item_id, m.start, m.n_words) for m in r.matches] for r in decontaminate.match_benchmark(make_docs(rows), bench).collect()}
+    assert got == {1: [(1, 0, 21)], 2: [(2, 1, 17)], 3: []}
+
+
 def test_decontamination_in_shards(spark, make_docs, monkeypatch):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     rows = [(1, BENCH[0][1]), (2, BENCH[1][1]), (3, "clean")]
