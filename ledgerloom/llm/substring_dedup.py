@@ -132,7 +132,7 @@ _ROW = "key long, d long, h1 long, start int, windows int, words binary"
 
 def _pieces(window: int, gram: int, many: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[bytes] = set()
+        seen: dict[bytes, tuple[int, int, int]] = {}
         for frame in batches(frames, 256):
             hashes, offsets = word_hashes(frame["text"])
             out = []
@@ -144,9 +144,9 @@ def _pieces(window: int, gram: int, many: int):
                 least = signed(least)
                 known = np.asarray(row.known)
                 order = np.argsort(known)
-                place = np.minimum(np.searchsorted(known, least, sorter=order), len(known) - 1)
-                hot = np.asarray(row.places)[order][place] > many
-                wanted = known[order][place] == least
+                found = np.minimum(np.searchsorted(known, least, sorter=order), len(known) - 1)
+                hot = np.asarray(row.places)[order][found] > many
+                wanted = known[order][found] == least
                 hashed = signed(shingles(own, window)) if (hot & wanted).any() else None
                 edges = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | hot[1:] | hot[:-1], [True])))
                 words = row.text.encode().split()
@@ -158,10 +158,13 @@ def _pieces(window: int, gram: int, many: int):
                         text = b" ".join(words[s : s + n + window - 1])
                         key = int(hashed[s]) if hot[a] else int(least[s])
                         name = xxhash.xxh3_128_digest(text)
+                        place = (row.d, row.h1, s)
+                        if seen.get(name) == place:
+                            continue  # of a row equal in id and text
                         if name in seen:
                             out.append((int(mix(np.array([row.d ^ row.h1], dtype=np.int64).view(np.uint64)).view(np.int64)[0]), row.d, row.h1, s, n, None))
                         else:
-                            seen.add(name)
+                            seen[name] = place
                             out.append((key, row.d, row.h1, s, n, text))
             yield pd.DataFrame(out, columns=["key", "d", "h1", "start", "windows", "words"])
 
@@ -195,12 +198,13 @@ def _matched(window: int):
             edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
             d, h1, start, windows, words = (frame[c].tolist() for c in ("d", "h1", "start", "windows", "words"))
             for a, b in zip(edges, edges[1:]):
-                fresh, known = [], set()
+                fresh, known = [], {}
                 for i in range(a, b):
-                    if words[i] is None or words[i] in known:
+                    place = (d[i], h1[i], start[i])
+                    if words[i] is None or known.get(words[i], place) != place:
                         yield d[i], h1[i], start[i], windows[i]
-                    else:
-                        known.add(words[i])
+                    elif words[i] not in known:  # else of a row equal in id and text
+                        known[words[i]] = place
                         fresh.append(i)
                 pieces = [words[i].split() for i in fresh]
                 if len(pieces) == 1 and not _repeats_itself(pieces[0], window):
@@ -248,7 +252,7 @@ def remove_repeats(
     """One row per row of docs: doc_id, n_words, n_removed, kept_text (kept words with one blank between).
 
     Words are runs between ASCII blanks, compared as bytes. Documents are ordered by id, rows without id before all others, rows of
-    one id by a hash of their text; rows equal in both are judged alike. Null and empty texts have no words; texts shorter than the
+    one id by a hash of their text; rows equal in both count as one, and its flags hold for all of them. Null and empty texts have no words; texts shorter than the
     window lose nothing. Other columns are ignored; an empty table gives an empty result.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -264,7 +268,8 @@ def remove_repeats(
     placed = leads.select("d", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("d", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("places"))
     repeated = placed.groupBy("anchor").agg(F.sum("places").cast("int").alias("places")).where("places > 1")
     wanted = cut(
-        placed.select("d", "anchor").join(repeated, "anchor").groupBy("d").agg(F.collect_list("anchor").alias("known"), F.collect_list("places").alias("places"))
+        placed.select("d", "anchor").join(repeated, "anchor").groupBy("d")
+        .agg(F.collect_set(F.struct("anchor", "places")).alias("x")).select("d", F.col("x.anchor").alias("known"), F.col("x.places").alias("places"))
     )
     pieces = (
         base.join(wanted, F.coalesce(base["doc_id"], F.lit(_FIRST)) == wanted["d"]).select("d", order["h1"].alias("h1"), "text", "known", "places")
@@ -274,7 +279,7 @@ def remove_repeats(
     matched = (
         pieces.repartition("key").sortWithinPartitions("key", "d", "h1", "start").mapInPandas(_matched(window), "d long, h1 long, start int, windows int")
     )
-    flags = matched.union(copies).groupBy("d").agg(F.collect_list(F.struct("h1", "start", "windows")).alias("flags"))
+    flags = matched.union(copies).groupBy("d").agg(F.collect_set(F.struct("h1", "start", "windows")).alias("flags"))
     return (
         base.join(flags, F.coalesce(base["doc_id"], F.lit(_FIRST)) == flags["d"], "left")
         .select(order["d"].alias("d"), F.col("doc_id").isNull().alias("no_id"), order["h1"].alias("h1"), "text", "flags")

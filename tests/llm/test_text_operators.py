@@ -96,6 +96,21 @@ def test_substring_dedup_odd_rows(make_docs):
     assert substring_dedup.remove_repeats(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("many", [4096, 1])
+def test_rows_equal_in_id_and_text_count_as_one(make_docs, many):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 60)) for i in range(4)]
+    rows += [(4, rows[1][1]), (5, prose(rng, 30) + " " + " ".join(rows[2][1].split()[10:40])), (6, "a b c d " * 30), (-(1 << 62), prose(rng, 40))]
+    want = without_repeats(rows)
+    for parts in (1, 5):
+        docs = make_docs(rows + rows[::-1] + rows[:3] + [(None, rows[0][1] + " z")] * 2).repartition(parts)
+        out = [tuple(r) for r in substring_dedup.remove_repeats(docs, many=many).collect()]
+        assert [r[1:] for r in out if r[0] is None] == [(61, 0, rows[0][1] + " z")] * 2
+        named = [r for r in out if r[0] not in (None, 0)]
+        assert sorted(named) == sorted((i, *want[i]) for i, _ in rows + rows + rows[:3] if i)
+        assert [r[1:] for r in out if r[0] == 0] == [(60, 60, "")] * 3
+
+
 def test_automaton_statistics():
     rng = random.Random(3)
     for _ in range(200):
