@@ -235,9 +235,8 @@ def _kept(window: int):
                 words = row.text.encode().split() if row.text else []
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 for f in row.flags if row.flags is not None else ():
-                    if f["h1"] == row.h1:
-                        gone[f["start"]] += 1
-                        gone[min(len(words), f["start"] + f["windows"] + window - 1)] -= 1
+                    gone[f["start"]] += 1
+                    gone[min(len(words), f["start"] + f["windows"] + window - 1)] -= 1
                 covered = np.cumsum(gone[:-1]) > 0
                 kept = b" ".join([w for w, c in zip(words, covered) if not c]) if covered.any() else b" ".join(words)
                 out.append((len(words), int(covered.sum()), kept.decode()))
@@ -256,33 +255,32 @@ def remove_repeats(
     window lose nothing. Other columns are ignored; an empty table gives an empty result.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    order = {"d": F.coalesce("doc_id", F.lit(_FIRST)), "h1": F.xxhash64("text")}
-    described = base.select(
-        F.coalesce("doc_id", F.lit(_FIRST)).alias("d"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("again"), "text").alias("h2"), "text"
-    ).mapInPandas(_spots(window, gram), "d long, h1 long, h2 long, n_words int, anchors array<long>, places array<int>")
+    # rows without id share d, so what belongs to a row is found by d and h1
+    base = base.withColumns({"d": F.coalesce("doc_id", F.lit(_FIRST)), "h1": F.xxhash64("text")})
+    described = base.select("d", "h1", F.xxhash64(F.lit("again"), "text").alias("h2"), "text").mapInPandas(_spots(window, gram), "d long, h1 long, h2 long, n_words int, anchors array<long>, places array<int>")
     spots = cut(described.where(F.col("n_words") >= window))
     first = spots.groupBy("h1", "h2").agg(F.min("d").alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     ranked = cut(spots.select("d", "h1", "h2", "n_words").join(first, ["h1", "h2"]).where("d > first"))
     copies = ranked.select("d", "h1", F.lit(0).alias("start"), (F.col("n_words") - window + 1).alias("windows"))
     leads = spots.join(ranked.select("d", "h1", "h2"), ["d", "h1", "h2"], "left_anti")
-    placed = leads.select("d", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("d", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("places"))
+    placed = leads.select("d", "h1", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("d", "h1", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("places"))
     repeated = placed.groupBy("anchor").agg(F.sum("places").cast("int").alias("places")).where("places > 1")
     wanted = cut(
-        placed.select("d", "anchor").join(repeated, "anchor").groupBy("d")
-        .agg(F.collect_set(F.struct("anchor", "places")).alias("x")).select("d", F.col("x.anchor").alias("known"), F.col("x.places").alias("places"))
+        placed.select("d", "h1", "anchor").join(repeated, "anchor").groupBy("d", "h1")
+        .agg(F.collect_set(F.struct("anchor", "places")).alias("x")).select("d", "h1", F.col("x.anchor").alias("known"), F.col("x.places").alias("places"))
     )
     pieces = (
-        base.join(wanted, F.coalesce(base["doc_id"], F.lit(_FIRST)) == wanted["d"]).select("d", order["h1"].alias("h1"), "text", "known", "places")
+        base.join(wanted, ["d", "h1"]).select("d", "h1", "text", "known", "places")
         .sortWithinPartitions("d", "h1")
         .mapInPandas(_pieces(window, gram, many), _ROW)
     )
     matched = (
         pieces.repartition("key").sortWithinPartitions("key", "d", "h1", "start").mapInPandas(_matched(window), "d long, h1 long, start int, windows int")
     )
-    flags = matched.union(copies).groupBy("d").agg(F.collect_set(F.struct("h1", "start", "windows")).alias("flags"))
+    flags = matched.union(copies).groupBy("d", "h1").agg(F.collect_set(F.struct("start", "windows")).alias("flags"))
     return (
-        base.join(flags, F.coalesce(base["doc_id"], F.lit(_FIRST)) == flags["d"], "left")
-        .select(order["d"].alias("d"), F.col("doc_id").isNull().alias("no_id"), order["h1"].alias("h1"), "text", "flags")
+        base.join(flags, ["d", "h1"], "left")
+        .select("d", F.col("doc_id").isNull().alias("no_id"), "text", "flags")
         .mapInPandas(_kept(window), "d long, no_id boolean, n_words long, n_removed long, kept_text string")
         .select(F.expr("if(no_id, null, d)").alias("doc_id"), "n_words", "n_removed", "kept_text")
     )

@@ -111,6 +111,19 @@ def test_rows_equal_in_id_and_text_count_as_one(make_docs, many):
         assert [r[1:] for r in out if r[0] == 0] == [(60, 60, "")] * 3
 
 
+def test_rows_without_id_are_gathered_by_text(make_docs, monkeypatch):
+    rng = random.Random(13)
+    passage = prose(rng, 25)
+    rows = [(None, f"{prose(rng, 30)} a{i} {passage} b{i} {prose(rng, 30)}") for i in range(30)]
+    lists = []
+    kept = substring_dedup.cut
+    monkeypatch.setattr(substring_dedup, "cut", lambda df: lists.append(kept(df)) or lists[-1])
+    out = substring_dedup.remove_repeats(make_docs(rows)).collect()
+    assert sum(r.n_removed for r in out) == 29 * 25 and len(out) == 30
+    anchors = [df for df in lists if "known" in df.columns][0]
+    assert anchors.count() == 30 and anchors.agg(F.max(F.size("known"))).first()[0] < 30
+
+
 def test_automaton_statistics():
     rng = random.Random(3)
     for _ in range(200):
