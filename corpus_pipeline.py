@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import n_words, shared_folder
+from ledgerloom.llm.common import cut, n_words, shared_folder
 from ledgerloom.llm.decontaminate import match_benchmark
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import score_quality
@@ -32,20 +32,30 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return score_quality(docs.select(COLUMNS), labels).where("predicted = 1").select(COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs with __key, a hash of id and text; and (__key, no_id, id, t1, t2), once for each id and 128-bit hash of text, no two with one key."""
+    seed = 0
+    while True:
+        marks = [F.lit(seed), F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+        keyed = docs.select(*COLUMNS, F.xxhash64(*marks).alias("__key"))
+        text_hash = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("again"), "text").alias("t2")]
+        names = cut(keyed.select("__key", F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), *text_hash).distinct())
+        if not names.groupBy("__key").count().where("count > 1").limit(1).count():
+            return keyed, names
+        seed += 1
+
+
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by similarity >= 0.8 of five-word shingles the row of smallest id; one row of repeated rows.
+    """Of each group linked by similarity >= 0.8 of five-word shingles the row of smallest id and hash of text; one row of repeated rows.
 
-    Rows without id have nothing to be linked by: they stay unless a row with an id has the same text.
+    Rows of one id are as many documents as they have texts. Rows without id come after all others of their group.
     """
-    groups = jaccard_join(docs, k=5, percent=80)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    staying = docs.select(COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if docs.where("doc_id is null").limit(1).count():
-        said = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
-        named = docs.where("doc_id is not null").select(said.alias("__said"))
-        nameless = docs.where("doc_id is null").select(*COLUMNS, said.alias("__said"))
-        staying = staying.unionByName(nameless.join(named, "__said", "left_anti").drop("__said"))
-    return staying.select(COLUMNS)
+    keyed, names = _keyed(docs)
+    groups = jaccard_join(keyed, doc_id="__key", k=5, percent=80).select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    least = F.min(F.struct("no_id", "id", "t1", "t2", "__key"))
+    first = groups.join(names, "__key").groupBy("component_id").agg(least.alias("least")).select(F.col("least.__key").alias("__key"))
+    staying = keyed.join(first, "__key", "left_semi").groupBy("__key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return staying.select([F.col(f"row.{c}").alias(c) for c in COLUMNS])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,16 @@ def test_odd_rows_and_empty_tables(spark, corpus):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, folder).count() >= 0
         assert stage(spark, odd.limit(0), folder).count() == 0
+
+
+def test_near_duplicates_with_shared_or_no_ids(spark, corpus):
+    folder, _ = corpus
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 40) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (None, c), (None, c), (None, c + " more"), (4, d), (None, d), (1, a), (None, None), (None, None), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, folder).collect()
+    got = sorted(((r.doc_id, r.text) for r in kept), key=str)
+    without = [t for i, t in got if i is None and t is not None]
+    assert len(without) == 1 and without[0] in (c, c + " more")
+    assert [r for r in got if r[0] is not None or r[1] is None] == sorted([(1, a), (1, b), (4, d), (7, None), (None, None)], key=str)
