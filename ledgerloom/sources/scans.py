@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,11 +78,16 @@ def scan_file_exact(
 ) -> DataFrame:
     """Rows of one record type from files named exactly ``head + yyyyMMdd + tail``, without case.
 
-    With ``days`` only names in the range of those days are read, in either case of the head.
+    With ``days`` only names in the range of those days are read, in every case of the head: one range each reaches
+    the Parquet reader; a head of more than five letters is compared without case instead.
     """
     if days is not None:
         first, after = (d.strftime("%Y%m%d") for d in (days[0], days[1] + dt.timedelta(days=1)))
-        near = [(F.col(file_name) >= h + first) & (F.col(file_name) < h + after) for h in {head.upper(), head.lower()}]
+        if sum(c.upper() != c.lower() for c in head) > 5:
+            name, heads = F.upper(file_name), [head.upper()]
+        else:
+            name, heads = F.col(file_name), sorted({"".join(h) for h in product(*({c.upper(), c.lower()} for c in head))})
+        near = [(name >= h + first) & (name < h + after) for h in heads]
         df = df.filter(reduce(lambda a, b: a | b, near))
     day = F.try_to_date(F.substring(F.col(file_name), len(head) + 1, 8), "yyyyMMdd")
     out = df.filter(ci_equals(record_type, wanted)).withColumn("business_date", day)

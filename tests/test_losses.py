@@ -152,3 +152,13 @@ def test_wallet_accounts_are_each_companys_own(spark):
     df = spark.sql("SELECT * FROM VALUES ('LMX1'), ('lbr2'), ('OTHER'), (NULL) AS t(company)")
     got = [r[0] for r in df.select(J.company_account(J.WALLET_ACCOUNTS, "cash")).collect()]
     assert got == ["042-10030-000", "061-10030-000", J.PLACEHOLDER, J.PLACEHOLDER]
+
+
+@pytest.mark.parametrize("head", ["STL-", "Statement-"])
+def test_a_range_of_exact_files_keeps_heads_of_any_case(spark, head):
+    names = [f"{h}{day}.01.009.csv" for h in (head, head.lower(), head.upper(), head.capitalize(), head.swapcase(), head[0].lower() + head[1:]) for day in ("19970304", "19970305", "19970306")]
+    df = spark.createDataFrame([(n, "sb") for n in names], "file_name string, ch string")
+    day = dt.date(1997, 3, 5)
+    ranged = scans.scan_file_exact(df, head=head, days=(day, day))
+    full = scans.scan_file_exact(df, head=head).where(F.col("business_date") == F.lit(day))
+    assert sorted(map(tuple, ranged.collect())) == sorted(map(tuple, full.collect())) and full.count() == 6
