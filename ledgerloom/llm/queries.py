@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    chat, decontaminate, mixing, near_vectors, pseudo_likelihood, quality, sharding, shingle_join, substring_dedup, token_counts,
+    chat, decontaminate, divergence, mixing, near_vectors, pseudo_likelihood, quality, sharding, shingle_join, substring_dedup, token_counts,
 )
 from ledgerloom.llm.common import cut, n_words
 
@@ -190,3 +190,42 @@ def op4(spark, sf_dir):
 def op8(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudo_likelihood.score_pseudo_likelihood(docs).select("doc_id", "n_words", "score", "mean_score")
+
+
+OP11_SQL = r"""
+with d as (select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+t as (
+  select doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d
+), keep as (select lang, term from t group by all having count(distinct doc) >= 30),
+c as (select lang, source, term, count(*)::hugeint as n from t semi join keep using (lang, term) group by all),
+g as (select distinct lang, source from d),
+kept_of as (select lang, count(*)::hugeint as v from keep group by lang),
+sizes as (
+  select g.lang, g.source, coalesce(any_value(k.v), 0) as v, coalesce(sum(c.n), 0)::hugeint + 5 * coalesce(any_value(k.v), 0) as total
+  from g left join kept_of k on k.lang = g.lang left join c on c.lang = g.lang and c.source = g.source group by g.lang, g.source
+), p as (
+  select s.lang, s.source, k.term, coalesce(c.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // s.total as p
+  from sizes s join keep k on k.lang = s.lang left join c on c.lang = s.lang and c.source = s.source and c.term = k.term
+), lang_n as (select lang, term, sum(n)::hugeint as n from c group by all),
+lang_total as (select lang, sum(n)::hugeint + 5 * count(*) as total from lang_n group by lang),
+q as (select lang, term, 1 + (1000000000::hugeint * (n + 5)) // total as q from lang_n join lang_total using (lang)),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(sum(abs(x.p - y.p)), 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join p x on x.lang = a.lang and x.source = a.source
+  left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by all
+), terms as (select lang, source, term as item, p - q as value from p join q using (lang, term) where n > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+  union all
+  select * from (select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item) as rank from terms) where rank <= 50
+)
+select lang, source, part, item, value::bigint as value, rank::int as rank from ranked
+"""
+
+
+@query("op11_source_divergence", OP11_SQL)
+def op11(spark, sf_dir):
+    return divergence.audit_sources(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
