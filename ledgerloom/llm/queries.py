@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    chat, decontaminate, divergence, mixing, near_vectors, pseudo_likelihood, quality, sharding, shingle_join, substring_dedup, token_counts,
+    chat, decontaminate, divergence, mixing, near_vectors, pseudo_likelihood, quality, quality_rules, sharding, shingle_join, substring_dedup,
+    token_counts, vector_codes,
 )
 from ledgerloom.llm.common import cut, n_words
 
@@ -229,3 +230,90 @@ select lang, source, part, item, value::bigint as value, rank::int as rank from
 @query("op11_source_divergence", OP11_SQL)
 def op11(spark, sf_dir):
     return divergence.audit_sources(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def _op12_assigned(books: str) -> str:
+    """Each part with the nearest entry of these codebooks."""
+    far = "list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(part, c)])"
+    return f"(select n, p, any_value(part) as part, min({far} * 64 + j) // 64 as d, min({far} * 64 + j) % 64 as j from parts join {books} using (p) group by n, p)"
+
+
+def _op12_moved(assigned: str, books: str) -> str:
+    """Codebooks whose used entries are the floor of the mean of their parts."""
+    means = f"""(select p, j, list(m order by k) as c from (
+      select p, j, k, (sum(part[k]) - ((sum(part[k]) % count(*)) + count(*)) % count(*)) // count(*) as m
+      from {assigned} join (select unnest(range(1, 1 + (select max(len(part)) from parts))) as k) on true group by p, j, k) group by p, j)"""
+    return f"(select p, j, coalesce(m.c, b.c) as c from {books} b left join {means} m using (p, j))"
+
+
+OP12_SQL = f"""
+with v as materialized (
+  select row_number() over (order by vec_id) as n, vec_id, label, [floor(256 * x::double)::bigint for x in embedding] as e from embeddings
+  where embedding is not null and list_bool_and([x is not null and isfinite(x) for x in embedding])
+), parts as materialized (
+  select n, p, e[p * len(e) // 16 + 1:(p + 1) * len(e) // 16] as part from v, (select unnest(range(16)) as p)
+), b0 as materialized (select p, n - 1 as j, part as c from parts where n <= 64),
+a0 as materialized (select * from {_op12_assigned("b0")}),
+b1 as materialized (select * from {_op12_moved("a0", "b0")}),
+a1 as materialized (select * from {_op12_assigned("b1")}),
+b2 as materialized (select * from {_op12_moved("a1", "b1")}),
+a2 as materialized (select * from {_op12_assigned("b2")}),
+coded as (select n, string_agg(format('{{:02x}}', j::bigint), '' order by p) as code, sum(d)::bigint as error from a2 group by n),
+sha as (select sha256(string_agg(array_to_string(c, ','), ',' order by p, j)) as codebooks_sha256 from b2)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from v join coded using (n), sha
+"""
+
+
+@query("op12_vector_codes", OP12_SQL)
+def op12(spark, sf_dir):
+    return vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings")).drop("label")
+
+
+OP13_SQL = r"""
+with d as (select row_number() over () as n, doc_id, lang, source, coalesce(text, '') as text from documents),
+w as (select n, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from d),
+lines as (
+  select n, count(*) as n_lines, count(*) - count(distinct l) as n_dup_lines
+  from (select n, unnest(string_split(text, chr(10))) as l from d) where regexp_matches(l, '[^\x20\x09-\x0D]') group by n
+), windows as (
+  select n, s, array_to_string(w[s:s + 4], ' ') as t from (select n, w, unnest(range(1, len(w) - 3)) as s from w where len(w) >= 5)
+), twice as (select n, s from windows qualify count(*) over (partition by n, t) > 1),
+repeats as (select n, count(distinct s + k) as n_repeat_words from twice, range(0, 5) r(k) group by n),
+c as (
+  select doc_id, lang, source, len(w)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(n_dup_lines, 0)::bigint as n_dup_lines,
+    coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(n_lines, 0)::bigint as n_lines
+  from d join w using (n) left join lines using (n) left join repeats using (n)
+), b as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    [1000 * word_chars // greatest(n_words, 1), 1000 * n_symbols // greatest(n_words, 1),
+     1000 * n_dup_lines // greatest(n_lines, 1), 1000 * n_repeat_words // greatest(n_words, 1)] as rates from c
+), v as (
+  select lang, source, rule, rate - rate % (1::bigint << greatest(length(bin(rate)) - 7, 0)) as bucket
+  from (select lang, source, unnest(range(1, 5)) as rule, unnest(rates) as rate from b where not base_failed)
+), levels as (
+  select 's' as level, lang, source, rule, bucket from v union all select 'l', lang, null, rule, bucket from v union all select 'a', null, null, rule, bucket from v
+), sketches as (select level, lang, source, rule, bucket, count(*) as n from levels group by all),
+seen as (
+  select *, sum(n) over (partition by level, lang, source, rule order by bucket) as below, sum(n) over (partition by level, lang, source, rule) as size from sketches
+), q as (
+  select level, lang, source, rule, any_value(size) as size, min(bucket) filter (4 * below >= size) as low, min(bucket) filter (4 * below >= 3 * size) as high
+  from seen group by all
+), used as (
+  select s.lang, s.source, s.rule,
+    case when s.size >= 100 then s.low when l.size >= 100 then l.low else a.low end as low,
+    case when s.size >= 100 then s.high when l.size >= 100 then l.high else a.high end as high
+  from q s join q l on s.level = 's' and l.level = 'l' and l.lang is not distinct from s.lang and l.rule = s.rule
+  join q a on a.level = 'a' and a.rule = s.rule
+), far as (select *, 6 * greatest(high - low, [100, 50, 75, 30][rule]) as far from used),
+limits as (select lang, source, list(low - far order by rule) as low, list(high + far order by rule) as high from far group by lang, source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and rates[1] between low[1] and high[1] and rates[2] <= high[2] and rates[3] <= high[3] and rates[4] <= high[4] as kept
+from b left join limits on b.lang is not distinct from limits.lang and b.source is not distinct from limits.source
+"""
+
+
+@query("op13_quality_rules", OP13_SQL)
+def op13(spark, sf_dir):
+    return quality_rules.apply_rules(_table(spark, sf_dir, "documents")).drop("failed_rules")
