@@ -23,7 +23,7 @@ from ledgerloom.llm.common import cut, text_batches
 
 SHARD_BYTES = 16 << 20  # text a task sorts at once; one longer text is a shard of its own
 DEEP = 64  # bytes after which the few slices left are compared as whole terms
-ROWS_PER_TASK = 400_000  # counts of one task of the pair sums
+ROWS_PER_TASK = 20_000  # counts of one task of the pair sums
 CELLS = 1 << 21  # cells of the dense block of terms by sources that a task holds
 SOURCES_PER_TASK = 500  # rows of the matrix of pair sums that a task holds
 
