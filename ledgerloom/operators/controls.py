@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import MONEY, ci_key
@@ -17,7 +17,7 @@ EXCEPTION_BALANCE_LIMITS = {**BALANCE_LIMITS, "overpayment": 100}
 SUSPENSE_LIMIT = 2500
 SUSPENSE_JOURNALS = ["card", "wallet", "a_sales", "a_cash"]
 MINIMUM_SOURCE_ROWS = 1
-GATE_ORDER = ["balance", "placeholder", "completeness", "suspense"]
+GATE_ORDER = ["identity", "balance", "placeholder", "completeness", "suspense"]
 
 GATE_COLUMNS = ["gate", "business_date", "company", "journal", "value", "status"]
 
@@ -81,12 +81,19 @@ def suspense_limit(
     return by_day.withColumn("status", F.when(F.abs("value") > limit, "fail").otherwise("ok"))
 
 
+def identity(lines: DataFrame) -> DataFrame:
+    """Lines without a day or company: no batch can hold them, so each such group is a failing gate row."""
+    lost = lines.filter(F.col("company").isNull() | F.col("business_date").isNull())
+    return lost.groupBy("business_date", "company").agg(F.count("*").alias("value")).withColumn("status", F.lit("fail"))
+
+
 def gate_results(
     lines: DataFrame, days: DataFrame, source: DataFrame, suspense_account: str,
     limits: Mapping[str, int] = BALANCE_LIMITS, skip: Collection[str] = (),
 ) -> DataFrame:
     """Every gate's rows in one shape; ``skip`` leaves gates out of an override run."""
     per_day = {
+        "identity": lambda: identity(lines),
         "placeholder": lambda: placeholder_accounts(lines),
         "completeness": lambda: source_completeness(days.select("business_date", "company").distinct(), source),
         "suspense": lambda: suspense_limit(lines, suspense_account),
@@ -107,8 +114,8 @@ def gate_status(gates: DataFrame) -> DataFrame:
     out = gates.groupBy("business_date", "company").agg(failed.alias("first"))
     stop = F.col("first").isNotNull()
     subject = F.when(
-        stop, F.concat(F.col("company"), F.lit(" "), F.col("first.gate"), F.lit(" "), F.col("first.journal"), F.lit(" "),
-                       F.date_format("business_date", "yyyyMMdd"))
+        stop, F.concat(F.coalesce("company", F.lit("no company")), F.lit(" "), F.col("first.gate"), F.lit(" "), F.col("first.journal"),
+                       F.lit(" "), F.coalesce(F.date_format("business_date", "yyyyMMdd"), F.lit("no day")))
     )
     return out.select(
         "business_date", "company",
@@ -116,3 +123,8 @@ def gate_status(gates: DataFrame) -> DataFrame:
         F.col("first.gate").alias("failed_gate"), F.col("first.journal").alias("failed_journal"),
         subject.alias("alert"),
     )
+
+
+def no_status(spark: SparkSession) -> DataFrame:
+    """The decisions of a close that had nothing to do."""
+    return spark.createDataFrame([], "business_date date, company string, decision string, failed_gate string, failed_journal string, alert string")

@@ -84,7 +84,8 @@ def processor_id_lookup(
 ) -> DataFrame:
     """The processor's id for a ledger row, compared as text; '' where it has none."""
     pairs = [(ci_key(F.col(ledger_id).cast("string")), ci_key(F.col(report_id).cast("string")))]
-    return left_lookup(ledger, report.select(report_id), pairs, report_id, default="", alias=alias)
+    # spellings first, by hash; the largest of them, a text, is only sought among few rows a key
+    return left_lookup(ledger, report.select(report_id).distinct(), pairs, report_id, default="", alias=alias)
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -119,10 +119,14 @@ EXCEPTION_COLUMNS = [
 ]
 
 
+def number_exceptions(df: DataFrame, label: str, require_no_fx: bool = False) -> DataFrame:
+    """Exceptions numbered inside a business date and company, in the order of their own columns; others are carried along."""
+    rows = exceptions(df, require_no_fx)
+    return row_identity(rows, ["business_date", "company"], ["ledger_key", "proc_key"], label, order=EXCEPTION_COLUMNS)
+
+
 def numbered_exceptions(df: DataFrame, label: str, require_no_fx: bool = False) -> DataFrame:
-    """Exceptions numbered inside a business date and company."""
-    rows = exceptions(df, require_no_fx).select(*EXCEPTION_COLUMNS)
-    return row_identity(rows, ["business_date", "company"], ["ledger_key", "proc_key"], label)
+    return number_exceptions(df.select(*EXCEPTION_COLUMNS), label, require_no_fx)
 
 
 def match_status(ledger_key: str = "ledger_key", proc_key: str = "proc_key") -> Column:

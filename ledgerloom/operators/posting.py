@@ -1,15 +1,16 @@
 """Posting: debit/credit rules, journal lines and the balancing line.
 
 A journal is a list of :class:`LineSpec`. All lines that read the same frame
-are summed in one pass: each row is stacked into one arm per line kind and the
-stack is grouped once, with a map-side combine, down to a handful of rows per
-day. Everything after that works on those few rows.
+are summed in one pass: a row is hashed once, by all labels any line kind
+uses, into one conditional sum per kind, with a map-side combine, down to a
+handful of rows per day. Only these are stacked into one arm per line kind.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,18 +110,32 @@ class JournalSpec:
 
 
 def summarise_lines(df: DataFrame, specs: Sequence[LineSpec]) -> DataFrame:
-    """Sum every line kind of one frame in a single grouped pass."""
+    """Sum every line kind of one frame in a single grouped pass.
+
+    Rows no kind wants are dropped before, where every kind says which it
+    wants. A group of no rows of a kind is no line; one whose amounts are all
+    NULL is a line of NULL.
+    """
+    used = [k for k in LABELS if any(k in s.keys for s in specs)]
+    wanted = {s.name: F.coalesce(s.where(), F.lit(False)) for s in specs if s.where}
+    if len(wanted) == len(specs):
+        df = df.filter(reduce(lambda a, b: a | b, wanted.values()))
+    measures = []
+    for s in specs:
+        amount = F.col(s.amount).cast(POSTING)
+        measures.append(F.sum(F.when(wanted[s.name], amount) if s.where else amount).alias(f"__sum_{s.name}"))
+        measures.append(F.count(F.when(wanted[s.name], 1) if s.where else F.lit(1)).alias(f"__n_{s.name}"))
+    few = df.groupBy("business_date", "company", *used).agg(*measures)
     arms = [
         F.struct(
             F.lit(s.name).alias("line"),
             *[(F.col(k) if k in s.keys else F.lit(None)).cast("string").alias(k) for k in LABELS],
-            F.col(s.amount).cast(POSTING).alias("amount"),
-            (F.coalesce(s.where(), F.lit(False)) if s.where else F.lit(True)).alias("keep"),
+            F.col(f"__sum_{s.name}").alias("amount"),
+            (F.col(f"__n_{s.name}") > 0).alias("keep"),
         )
         for s in specs
     ]
-    stacked = df.select("business_date", "company", F.inline(F.array(*arms))).filter("keep")
-    used = [k for k in LABELS if any(k in s.keys for s in specs)]
+    stacked = few.select("business_date", "company", F.inline(F.array(*arms))).filter("keep")
     sums = sum_by_label(stacked, ["business_date", "company", "line"], used, {"amount": "amount"})
     unused = {k: F.lit(None).cast("string") for k in LABELS if k not in used}
     return sums.withColumns(unused) if unused else sums

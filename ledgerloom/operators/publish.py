@@ -69,10 +69,15 @@ def finished_runs(
     return rows if run_type is None else rows.withColumn("run_type", F.lit(run_type))
 
 
+def finished_days(history: DataFrame) -> DataFrame:
+    """Days and companies with a finished run."""
+    done = history.filter(F.col("stop_date").isNotNull())
+    return done.select(F.to_date("date_run").alias("business_date"), F.col("brand_table").alias("company")).distinct()
+
+
 def pending_days(history: DataFrame, days: DataFrame) -> DataFrame:
     """Days and companies without a finished run, however early: a day that once failed comes back until it passes."""
-    done = history.filter(F.col("stop_date").isNotNull()).select(F.to_date("date_run").alias("business_date"), F.col("brand_table").alias("company"))
-    return days.select("business_date", "company").distinct().join(done, ["business_date", "company"], "left_anti")
+    return days.select("business_date", "company").distinct().join(finished_days(history), ["business_date", "company"], "left_anti")
 
 
 def next_dates(history: DataFrame, brand_table: str, source: DataFrame, source_ts: str) -> DataFrame:

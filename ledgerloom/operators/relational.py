@@ -34,29 +34,30 @@ def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
 
 def row_identity(
     df: DataFrame, within: Sequence[str], spread: Sequence[str], label: str,
-    number: str = "exception_num", text: str = "exception_id",
+    number: str = "exception_num", text: str = "exception_id", order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number rows inside each ``within`` group and build a text id from the number.
 
     A group may hold a large share of all rows, so it is never numbered by one
-    task: its rows are spread over 256 ordered buckets by a hash of the
-    ``spread`` columns, numbered inside their bucket, and shifted by the row
-    count of the buckets before. Inside a bucket rows are ordered by all their
-    columns, so equal input gets equal numbers in every run, and the counting
-    side reads the very shuffle the numbering side does.
+    task: its rows are dealt to 256 ordered buckets by a hash of the ``spread``
+    columns, numbered inside their bucket, and shifted by the row count of the
+    buckets before. Inside a bucket rows are ordered by ``order``, then by all
+    their other columns, so equal input gets equal numbers in every run. The
+    rows are exchanged once; the counting side reads the same exchange and
+    neither sorts nor numbers.
     """
     seed = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in spread])
     bucket = [*within, "__bucket"]
-    rows = df.withColumn("__bucket", F.left(F.md5(seed), F.lit(2)))
-    inside = Window.partitionBy(*bucket).orderBy(*df.columns)
-    rows = rows.withColumn("__n", F.row_number().over(inside))
-    sizes = rows.groupBy(*bucket).agg(F.max("__n").cast("bigint").alias("__size"))
+    dealt = df.withColumn("__bucket", F.left(F.md5(seed), F.lit(2))).repartition(*bucket)
+    sizes = dealt.groupBy(*bucket).agg(F.count("*").alias("__size"))
     before = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*bucket, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))
     # rows without a company or date are the ones an exception report must keep, so groups meet NULL-safely
     shifts = shifts.select(*[F.col(c).alias(f"__of_{c}") for c in bucket], "__shift")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in bucket])
-    out = rows.join(shifts, same).withColumn(number, F.col("__shift") + F.col("__n"))
+    sorted_by = list(dict.fromkeys([*(order or ()), *df.columns]))
+    inside = F.row_number().over(Window.partitionBy(*bucket).orderBy(*sorted_by))
+    out = dealt.withColumn("__n", inside).join(shifts, same).withColumn(number, F.col("__shift") + F.col("__n"))
     out = out.withColumn(text, F.concat(F.lit(label), F.col(number).cast("string")))
     return out.drop("__bucket", "__n", "__shift", *[f"__of_{c}" for c in bucket])
 

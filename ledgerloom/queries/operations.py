@@ -16,12 +16,15 @@ from ledgerloom.operators.joins import inner_join
 from ledgerloom.operators.match import exceptions
 from ledgerloom.operators.processor import route_row_types
 from ledgerloom.operators.relational import union
+from ledgerloom.plans import books as B
 from ledgerloom.plans import daily_close as D
 from ledgerloom.plans import journals as J
 from ledgerloom.queries.registry import query
 from ledgerloom.queries.scans import read_back
 from ledgerloom.session import scratch_path
-from ledgerloom.sources.roles import BRAND_MIDS, BRAND_TABLES, Roles, pick
+from ledgerloom.sources import files
+from ledgerloom.sources.roles import BRAND_MIDS, BRAND_TABLES, RUN_STAMP, RUN_STAMP_LONG, Roles, pick
+from ledgerloom.sources.snapshots import Snapshots
 from ledgerloom.streaming.enrich import file_stream, write_available
 
 c = F.col
@@ -56,7 +59,7 @@ SELECT business_date, company, value, CASE WHEN abs(value) > 2500 THEN 'fail' EL
 
 @query("control_balance", BALANCE_SQL, money="value", dates="business_date")
 def control_balance(r):
-    return C.balance(r.all_lines)
+    return C.balance(r.staged.all_lines)
 
 
 @query("control_balance_entry", f"""
@@ -64,12 +67,12 @@ SELECT business_date, company, journal, checkbookid, '061-11045-000' AS account,
   CASE WHEN value < 0 THEN -value ELSE 0 END AS debit, CASE WHEN value > 0 THEN value ELSE 0 END AS credit
 FROM ({BALANCE_SQL}) AS b WHERE status = 'needs balancing'""", money="debit credit", dates="business_date")
 def control_balance_entry(r):
-    return C.balance_entries(r.all_lines, J.SUSPENSE_ACCOUNT)
+    return C.balance_entries(r.staged.all_lines, J.SUSPENSE_ACCOUNT)
 
 
 @query("control_placeholder_accounts", PLACEHOLDER_SQL, dates="business_date")
 def control_placeholder_accounts(r):
-    return C.placeholder_accounts(r.all_lines)
+    return C.placeholder_accounts(r.staged.all_lines)
 
 
 def card_days(r):
@@ -83,7 +86,7 @@ def control_source_completeness(r):
 
 @query("control_suspense_limit", SUSPENSE_SQL, money="value", dates="business_date")
 def control_suspense_limit(r):
-    return C.suspense_limit(r.all_lines, J.SUSPENSE_ACCOUNT)
+    return C.suspense_limit(r.staged.all_lines, J.SUSPENSE_ACCOUNT)
 
 
 @query("control_gate_status", f"""
@@ -98,7 +101,7 @@ FROM (SELECT *, status = 'fail' AS failed,
         UNION ALL SELECT 'suspense', business_date, company, 'all', status FROM ({SUSPENSE_SQL}) AS s) AS g) AS h
 GROUP BY 1, 2""", dates="business_date")
 def control_gate_status(r):
-    lines = D.stage_lines(r.all_lines, scratch_path(r.spark, "lines"))
+    lines = D.stage_lines(r.staged.all_lines, scratch_path(r.spark, "lines"))
     return C.gate_status(C.gate_results(lines, required_days(r), card_days(r), J.SUSPENSE_ACCOUNT))
 
 
@@ -109,8 +112,8 @@ def required_days(r):
 COMMON_NAMES = "checkbookid batchid trandate reference account debit credit distref uniqueid docamt distype brand merchant"
 
 
-@query("daily_close", f"""
-WITH z_balance AS ({BALANCE_SQL}),
+CLOSE_SQL = f"""
+z_balance AS ({BALANCE_SQL}),
 z_lines AS (
   SELECT business_date, company, journal, checkbookid, batchid, trandate, reference, account, debit, credit, distref, uniqueid, docamt, distype, merchant FROM x_all
   UNION ALL
@@ -127,18 +130,93 @@ z_fail AS (
     WHERE (d.business_date, d.company) NOT IN (SELECT (CAST(update_date AS DATE), company) FROM x_stmt_c)
   UNION SELECT business_date, company FROM (SELECT DISTINCT business_date, company, credit, debit, account FROM z_lines
       WHERE journal <> 'overpayment' AND account = '061-11045-000') AS u
-    GROUP BY 1, 2 HAVING abs(sum(debit) - sum(credit)) > 2500)
-SELECT checkbookid, batchid, trandate, reference, account, debit, credit, distref, uniqueid, docamt, distype, l.company AS brand, merchant
-FROM z_lines AS l LEFT JOIN z_fail AS f ON f.business_date = l.business_date AND f.company = l.company WHERE f.company IS NULL""",
+    GROUP BY 1, 2 HAVING abs(sum(debit) - sum(credit)) > 2500)"""
+CLOSE_LINE = ("checkbookid, batchid, trandate, reference, account, debit, credit, distref, uniqueid, docamt, distype, l.company AS brand, merchant")
+
+
+@query("daily_close", f"""
+WITH {CLOSE_SQL}
+SELECT {CLOSE_LINE} FROM z_lines AS l LEFT JOIN z_fail AS f ON f.business_date = l.business_date AND f.company = l.company WHERE f.company IS NULL""",
        money="debit credit docamt")
 def daily_close(r):
-    """Close all days twice into one common journal; the second run replaces the first."""
-    staging, common = scratch_path(r.spark, "staged"), scratch_path(r.spark, "common")
+    """Close all days twice into one common journal, from lines computed once; the second run replaces the first."""
+    common, lines = scratch_path(r.spark, "common"), D.stage_lines(r.staged.all_lines, scratch_path(r.spark, "lines"))
     for _ in range(2):
-        D.close_days(r.all_lines, required_days(r), card_days(r), staging, common)
+        D.close_days(lines, required_days(r), card_days(r), scratch_path(r.spark, "staged"), common)
     return read_back(r, common, D.COMMON).select(*COMMON_NAMES.split())
 
 
+# --- the books ---------------------------------------------------------------
+
+FIRST_CLOSE = dt.date(1996, 12, 31)  # the first close has the days up to here, the second all of them
+RUN_DAY = "2026-01-01 09:30:00"
+
+
+def day_frames(r):
+    s = r.staged
+    return B.DayFrames(s.ledger_days, s.rows_a, s.rows_settlement, s.rows_b, s.rows_c)
+
+
+def stamps():
+    at = F.lit(RUN_DAY).cast("timestamp")
+    return B.Stamps(at, at, RUN_STAMP, RUN_STAMP_LONG)
+
+
+def stored_books(r):
+    books = Snapshots(r.spark, scratch_path(r.spark, "books"))
+    B.store_frames(books, day_frames(r), B.MONTHS)
+    files.remove_at_exit(r.spark, books.root)
+    return books
+
+
+def posted_and_runs(books, histories):
+    """What the books hold after a close: lines of the common journal, and runs by history."""
+    lines = books.read("common", D.COMMON).select(F.lit("line").alias("kind"), *COMMON_NAMES.split())
+    runs = [
+        books.read(h, B.HISTORY).select(F.lit(h).alias("kind"), "run_id", F.date_format("date_run", "yyyy-MM-dd").alias("date_run"), c("brand_table").alias("brand"))
+        for h in histories
+    ]
+    out = lines
+    for df in runs:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
+POSTED_SQL = f"""
+SELECT 'line' AS kind, {CLOSE_LINE}, CAST(NULL AS INTEGER) AS run_id, CAST(NULL AS VARCHAR) AS date_run FROM z_lines AS l
+JOIN z_done AS d ON d.business_date = l.business_date AND d.company = l.company"""
+
+
+def runs_sql(history: str) -> str:
+    empty = " ".join(f"NULL AS {n}," for n in COMMON_NAMES.split() if n not in ("brand", "merchant"))
+    return f"SELECT '{history}' AS kind, {empty} company AS brand, NULL AS merchant, CAST(row_number() OVER (ORDER BY phase, business_date, company) AS INTEGER) AS run_id, strftime(business_date, '%Y-%m-%d') AS date_run FROM z_done"
+
+
+@query("close_pending", f"""
+WITH {CLOSE_SQL},
+z_done AS (SELECT d.business_date, d.company, d.business_date > DATE '{FIRST_CLOSE}' AS phase FROM (SELECT DISTINCT business_date, company FROM x_days) AS d
+  LEFT JOIN z_fail AS f ON f.business_date = d.business_date AND f.company = d.company WHERE f.company IS NULL)
+{POSTED_SQL} UNION ALL {runs_sql("history")}""", money="debit credit docamt")
+def close_pending(r):
+    """Close the days up to a date, then all that are pending: lines and runs as one state of the books."""
+    books, days = stored_books(r), required_days(r.staged)
+    for due in (days.filter(c("business_date") <= F.lit(FIRST_CLOSE)), days):
+        B.close(books, due, card_days(r.staged), r.matrix, stamps(), period=B.MONTHS)
+    return posted_and_runs(books, ["history"])
+
+
+@query("close_exception_run", f"""
+WITH {CLOSE_SQL.replace(LIMIT_SQL, "100")},
+z_done AS (SELECT d.business_date, d.company, 1 AS phase FROM (SELECT DISTINCT business_date, company FROM x_days) AS d
+  WHERE (d.business_date, d.company) NOT IN (SELECT (business_date, company) FROM z_balance WHERE status = 'fail'))
+{POSTED_SQL} UNION ALL {runs_sql("history")} UNION ALL {runs_sql("exception_history")}""", money="debit credit docamt")
+def close_exception_run(r):
+    """An exception run asks the balance gate only, by its own limits, and writes both histories."""
+    books = stored_books(r)
+    B.close(books, required_days(r.staged), card_days(r.staged), r.matrix, stamps(), exception_run=True, period=B.MONTHS)
+    return posted_and_runs(books, ["history", "exception_history"])
+
+
 # --- publication -----------------------------------------------------------
 
 
@@ -146,7 +224,7 @@ def daily_close(r):
 SELECT {cols(' '.join(x for x in P.COMMON_COLUMNS if x not in ('cashrcpt', 'brand', 'merchant')))},
   CASE WHEN journal = 'a_cash' THEN cashrcpt END AS cashrcpt, company AS brand, merchant FROM x_all""", money="debit credit docamt")
 def publish_common_journal(r):
-    return P.common_journal({n: r.journal(n) for n in J.MERCHANT_TAGS}, J.MERCHANT_TAGS)
+    return P.common_journal({n: r.staged.journal(n) for n in J.MERCHANT_TAGS}, J.MERCHANT_TAGS)
 
 
 BRAND = "SRC_LEDGER"
@@ -260,6 +338,42 @@ def backfill_date_range(r):
     return Roles.for_days(r, FIRST, LAST, LAG_DAYS).all_lines.select(*BACKFILL.split())
 
 
+ACCUMULATED = """
+SELECT 'journal' AS kind, business_date, company, journal AS name, NULL AS ledger_key, NULL AS proc_key, debit, credit, NULL AS other_diff, NULL AS exception_num
+FROM x_all WHERE {days}
+UNION ALL SELECT 'match', business_date, company, CASE WHEN ledger_key IS NULL THEN 'processor only' WHEN proc_key IS NULL THEN 'ledger only' ELSE 'matched' END,
+  ledger_key, proc_key, NULL, NULL, other_diff, NULL FROM (SELECT business_date, company, ledger_key, proc_key, other_diff FROM x_rec_a
+    UNION ALL SELECT business_date, company, ledger_key, proc_key, other_diff FROM x_rec_b UNION ALL SELECT business_date, company, ledger_key, proc_key, other_diff FROM x_rec_c) AS m WHERE {days}
+UNION ALL SELECT 'exception', business_date, company, report, ledger_key, proc_key, NULL, NULL, other_diff, exception_num FROM (
+  SELECT 'a' AS report, business_date, company, ledger_key, proc_key, other_diff, row_number() OVER (PARTITION BY business_date, company
+      ORDER BY left(md5(coalesce(ledger_key, '') || '|' || coalesce(proc_key, '')), 2), ledger_key NULLS FIRST, proc_key NULLS FIRST,
+      ledger_currency NULLS FIRST, proc_currency NULLS FIRST, ledger_date NULLS FIRST, fx_diff, other_diff) AS exception_num
+    FROM x_rec_a WHERE fx_diff = 0 AND other_diff <> 0
+  UNION ALL SELECT 'b', business_date, company, ledger_key, proc_key, other_diff, NULL FROM x_rec_b WHERE other_diff <> 0
+  UNION ALL SELECT 'c', business_date, company, ledger_key, proc_key, other_diff, NULL FROM x_rec_c WHERE other_diff <> 0) AS e WHERE {days}"""
+
+
+@query("backfill_results", ACCUMULATED.format(days=f"business_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}' AND (business_date, company) IN (SELECT (business_date, company) FROM x_days)"),
+       money="debit credit other_diff", dates="business_date")
+def backfill_results(r):
+    """Journals, matches and exceptions of a range accumulated in two parts, the second repeating days of the first."""
+    books, days = stored_books(r), required_days(r.staged).filter(c("business_date").between(F.lit(FIRST), F.lit(LAST)))
+    for since in (FIRST, dt.date(1997, 9, 1)):
+        until = dt.date(1997, 10, 15) if since == FIRST else LAST
+        B.backfill(books, days.filter(c("business_date").between(F.lit(since), F.lit(until))), r.matrix, stamps(), B.MONTHS)
+    kept = ["business_date", "company", "name", "ledger_key", "proc_key", "debit", "credit", "other_diff", "exception_num"]
+    parts = [
+        books.read("journals", B.JOURNAL).withColumn("name", c("journal")).withColumn("kind", F.lit("journal")),
+        books.read("matches", B.MATCHES).withColumn("name", c("status")).withColumn("kind", F.lit("match")),
+        books.read("exceptions", B.EXCEPTIONS).withColumn("name", c("report")).withColumn("kind", F.lit("exception")),
+    ]
+    out = None
+    for df in parts:
+        df = df.select("kind", *[n for n in kept if n in df.columns])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out.select("kind", *kept)
+
+
 @query("stream_enrich", """
 SELECT strftime(date, '%Y-%m') AS month, company, settled_by, max(txn_type) AS txn_type, count(*) AS n, sum(revenue_usd) AS revenue_usd, sum(tax_usd) AS tax_usd
 FROM x_ledger GROUP BY 1, 2, 3, upper(txn_type)""", money="n revenue_usd tax_usd")
@@ -283,7 +397,7 @@ SALES_SQL = "(SELECT * FROM x_all WHERE journal IN ('a_sales', 'wallet', 'card')
 
 
 def sales_lines(r):
-    return r.tagged(*SALES)
+    return r.staged.tagged(*SALES)
 
 
 @query("report_suspense_by_merchant", f"SELECT merchant, sum(debit - credit) AS suspense FROM {SALES_SQL} WHERE account LIKE '%11045%' GROUP BY 1",

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom.sources import files
 
 # Correctness settings: every job needs these, whatever its size.
 SEMANTICS = {
@@ -30,6 +32,10 @@ ADAPTIVE = {
 # this limit Spark evaluates the stage operator by operator in smaller methods.
 CODEGEN = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
+# A close has more than the default of 100 generated classes; with fewer kept, a
+# session compiles the same stages again each time.
+COMPILED = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
 # Call sites of column functions are not recorded: plans here have thousands of
 # expressions, and recording costs more than building them.
 BUILD = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
@@ -39,11 +45,19 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTICS, **ADAPTIVE, **CODEGEN, **BUILD, **conf}.items():
+    for key, value in {**SEMANTICS, **ADAPTIVE, **CODEGEN, **COMPILED, **BUILD, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the shared folder and read it from there; it is removed when the process ends."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    files.remove_at_exit(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in spark.checkpoint.dir.
 

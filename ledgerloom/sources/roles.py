@@ -21,6 +21,7 @@ from ledgerloom.operators import processor as R
 from ledgerloom.operators.incremental import within_days
 from ledgerloom.operators.relational import union
 from ledgerloom.plans import journals as J
+from ledgerloom.session import stage
 from ledgerloom.sources.scans import scan_business_day, scan_date_range, statement_file_name
 from ledgerloom.sources.tables import StarTables
 
@@ -319,6 +320,18 @@ class Roles(StarTables):
             setattr(part, name, within_days(getattr(part, name), first, last))
         return part
 
+    @cached_property
+    def staged(self) -> Roles:
+        """The same roles, with what several journals read written once: the enriched ledger and the statement.
+
+        The written frames last as long as the process.
+        """
+        part = Roles(self.spark, self.data_dir)
+        part.rates, part.orders, part.lineitem = self.rates, self.orders, self.lineitem
+        part.ledger = stage(self.ledger, "ledger")
+        part.statement = stage(part.statement, "statement")
+        return part
+
     # --- journals ----------------------------------------------------------
 
     def journal(self, name: str) -> DataFrame:

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.sources import files
 
-def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+
+def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a target partition together, in few, large files."""
     return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
@@ -32,12 +34,12 @@ def conform(df: DataFrame, schema: str) -> DataFrame:
 def append_history(df: DataFrame, path: str, schema: str, partition_by: Sequence[str]) -> None:
     """Append to an accumulation table."""
     part = conform(df, schema)
-    _clustered(part, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    clustered(part, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def truncate_reload(df: DataFrame, path: str, schema: str, partition_by: Sequence[str]) -> None:
     """Clear the accumulation table and load it again."""
-    part = _clustered(conform(df, schema), partition_by)
+    part = clustered(conform(df, schema), partition_by)
     writer = part.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(path)
 
@@ -72,26 +74,15 @@ def replace_batches(
         new = replaced_batches(old, new, batch_keys, keys)
         if cleared is not None:  # a row per partition of the batches listed, so as few as months are closed
             emptied = cleared.select(*parts).distinct().join(new.select(*parts).distinct(), parts, "left_anti").collect()
-    writer = _clustered(new, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = clustered(new, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(path)
     for row in emptied:
-        _remove(df.sparkSession, "/".join([path, *[f"{c}={row[c]}" for c in parts]]))
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+        files.remove(df.sparkSession, "/".join([path, *[f"{c}={row[c]}" for c in parts]]))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything has been written to ``path`` yet. Any failure but a missing path is raised, never read as absence."""
-    try:
-        spark.read.format("binaryFile").load(path).schema  # resolving the path is enough
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether anything has been written to ``path`` yet. Asks for the path alone; any failure is raised, never read as absence."""
+    return files.exists(spark, path)
 
 
 def replaced_batches(
