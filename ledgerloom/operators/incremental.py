@@ -16,6 +16,19 @@ def high_water_mark(table: DataFrame, created: str = "created_at", done: str = "
     )
 
 
+def _since_mark(table: DataFrame, created: str, done: str, default):
+    mark = high_water_mark(table, created, done, default).scalar()
+    return (F.col(created) >= mark) | mark.isNull()
+
+
+def changed_since_mark(
+    table: DataFrame, enrich: Callable[[DataFrame], DataFrame], created: str = "created_at", done: str = "fx_rate",
+    default=None,
+) -> DataFrame:
+    """Only the slice at or after the mark, enriched again: what a merge writes back."""
+    return enrich(table.filter(_since_mark(table, created, done, default)))
+
+
 def refresh_since_mark(
     table: DataFrame, enrich: Callable[[DataFrame], DataFrame], created: str = "created_at", done: str = "fx_rate",
     default=None,
@@ -31,8 +44,7 @@ def refresh_since_mark(
     it; nothing comes back to the driver. The two slices are disjoint, so no
     key join is needed to replace the old rows.
     """
-    mark = high_water_mark(table, created, done, default).scalar()
-    is_fresh = (F.col(created) >= mark) | mark.isNull()
+    is_fresh = _since_mark(table, created, done, default)
     fresh = enrich(table.filter(is_fresh))
     kept = table.filter(~F.coalesce(is_fresh, F.lit(False)))
     return kept.unionByName(fresh.select(*table.columns))

@@ -26,6 +26,7 @@ from ledgerloom.sources import files
 from ledgerloom.sources.roles import BRAND_MIDS, BRAND_TABLES, RUN_STAMP, RUN_STAMP_LONG, Roles, pick
 from ledgerloom.sources.snapshots import Snapshots
 from ledgerloom.streaming.enrich import file_stream, write_available
+from ledgerloom.streaming.post import post_available, post_batch
 
 c = F.col
 
@@ -313,6 +314,29 @@ def incremental_high_water_mark(r):
     return out.select(*[x for x in STATE.split() if x != "ts"], "run")
 
 
+@query("incremental_merge", f"""
+SELECT {cols(STATE.replace(' ts', ''))},
+  CASE WHEN ts >= (SELECT max(ts) FROM x_days WHERE date < DATE '{MARK_DAY}') THEN 'new' ELSE 'old' END AS run
+FROM x_days""", money="fx_rate revenue_usd")
+def incremental_merge(r):
+    """The same increment as a merge: only the months in which rows are enriched again are written, all others keep their files."""
+    derived = ["fx_rate", "txn_type", "business_line", "settled_by", "tax_type", "revenue_usd"]
+    done = c("date") < F.lit(MARK_DAY).cast("date")
+    state = r.ledger_days.select(*r.ledger_raw.columns, "business_date", *derived).withColumns({d: F.when(done, c(d)) for d in derived})
+    state = state.withColumn("run", F.lit("old")).withColumn("business_period", F.date_format("business_date", B.MONTHS))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema)
+    books = Snapshots(r.spark, scratch_path(r.spark, "ledger"))
+    books.publish(books.latest(), [books.write(state, "ledger", schema, ["business_period"])])
+
+    def enrich(rows):
+        raw = rows.select(*r.ledger_raw.columns, "business_date")
+        return E.enrich_ledger(raw, r.rates).withColumn("run", F.lit("new"))
+
+    stored = books.read("ledger", schema)
+    B.merge_ledger(books, I.changed_since_mark(stored, enrich, created="ts").select(*stored.columns[:-1]), period=B.MONTHS)
+    return books.read("ledger", schema).select(*[x for x in STATE.split() if x != "ts"], "run")
+
+
 @query("incremental_first_run", f"SELECT {cols(STATE.replace(' ts', ''))}, 'new' AS run FROM x_ledger", money="fx_rate revenue_usd")
 def incremental_first_run(r):
     """Nothing is enriched yet, so there is no mark: the increment is a full run, and rows without a time are in it too."""
@@ -390,6 +414,41 @@ def stream_enrich(r):
     return sum_by_label(rows, ["month", "company", "settled_by"], ["txn_type"], sums)
 
 
+DAILY = "business_month STRING, business_date DATE, company STRING, settled_by STRING, n BIGINT, revenue_usd DECIMAL(25,3)"
+
+
+@query("stream_post", """
+SELECT business_date, company, max(settled_by) AS settled_by, count(*) AS n, sum(revenue_usd) AS revenue_usd FROM x_days
+GROUP BY 1, 2, upper(settled_by)""", money="revenue_usd", dates="business_date")
+def stream_post(r):
+    """Daily revenue posted from arriving files into the books, a few files a micro-batch; the last one arrives twice."""
+    arriving, checkpoint = scratch_path(r.spark, "arriving"), scratch_path(r.spark, "stream-log")
+    r.orders.repartition(6, "o_orderkey").write.parquet(arriving)
+    live = Roles(r.spark, r.data_dir)
+    live.rates = r.rates
+    live.orders = file_stream(r.spark, arriving, r.orders.schema, "*.parquet", max_files=2)
+    keys = ["business_month", "business_date", "company", "settled_by"]
+
+    def lines(batch):
+        rows = batch.withColumn("business_month", F.date_format("business_date", "yyyy-MM"))
+        return sum_by_label(rows, keys[:3], keys[3:], {"n": F.lit(1), "revenue_usd": "revenue_usd"})
+
+    def merge(old, new):
+        return sum_by_label(old.unionByName(new.select(*old.columns)), keys[:3], keys[3:], {"n": "n", "revenue_usd": "revenue_usd"})
+
+    books = Snapshots(r.spark, scratch_path(r.spark, "books"))
+    post = post_batch(books, "ledger", "daily", DAILY, ["business_month"], lines, merge)
+    last = []
+
+    def post_and_note(batch, number):
+        post(batch, number)
+        last[:] = [number]
+
+    post_available(live.ledger_days, post_and_note, checkpoint).awaitTermination()
+    post(r.ledger_days, last[0])  # a replay, even with other rows, is no new posting
+    return books.read("daily", DAILY).drop("business_month")
+
+
 # --- reports ---------------------------------------------------------------
 
 SALES = ["a_sales", "wallet", "card"]
