@@ -67,6 +67,50 @@ def _hash_block(block: bytes, starts_of: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes, np.searchsorted(starts_of, start, side="right") - 1
 
 
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ranges of a block of bytes, equal for equal ranges of any block."""
+    power, inverse = _powers(len(data))
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_BYTE_VALUES[data] * power[: len(data)])))
+    hashes = mix((sums[end] - sums[start]) * inverse[start])
+    for i in np.flatnonzero(end - start > _LONG):
+        hashes[i] = xxhash.xxh64_intdigest(data[start[i] : end[i]].tobytes())
+    return hashes
+
+
+def pieces_of(texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of whole words, of about a quarter of a megabyte or one longer word: bytes, the same in lower case, the text of each piece
+    of a block, and where the pieces begin. Lower case must not change the number of bytes of any character."""
+    block: list[tuple[int, bytes, bytes]] = []
+    size = 0
+
+    def joined():
+        data, low = (np.frombuffer(b" ".join(x), dtype=np.uint8) for x in ([b for _, b, _ in block], [c for _, _, c in block]))
+        starts = np.concatenate(([0], np.cumsum([len(b) + 1 for _, b, _ in block])[:-1])).astype(np.int64)
+        return data, low, np.array([n for n, _, _ in block], dtype=np.int64), starts
+
+    for n, text in enumerate(texts):
+        data, low = text.encode(), text.lower().encode()
+        at = 0
+        while at < len(data):
+            end = len(data)
+            if end - at > _CHUNK:
+                window = data[at : at + _CHUNK]
+                cuts = [window.rfind(b) for b in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")]
+                if max(cuts) > 0:
+                    end = at + max(cuts)
+                else:  # a word longer than a block
+                    found = [x for b in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f") if (x := data.find(b, at + 1)) >= 0]
+                    end = min(found, default=len(data))
+            block.append((n, data[at:end], low[at:end]))
+            size += end - at + 1
+            at = end
+            if size >= _CHUNK:
+                yield joined()
+                block, size = [], 0
+    if block:
+        yield joined()
+
+
 def word_hashes(texts: Iterable[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of some texts, and offsets: text i has words offsets[i]:offsets[i + 1].
 

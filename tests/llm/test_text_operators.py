@@ -297,3 +297,79 @@ def test_word_hashes_of_long_texts():
     hashes, offsets = word_hashes(texts)
     assert list(offsets) == [0, 700_002, 700_002, 700_002, 700_004, 700_005]
     assert hashes[0] == hashes[5] == hashes[-2] and hashes[700_000] == hashes[-1]
+
+
+def test_array_reading_equals_word_reading():
+    rng = random.Random(6)
+    read = decontaminate.Canonical()
+    vocab = (
+        "x=3,y=4 5kg McDonald NASA. twenty-one \"Quoted\" (see ÉCOLE Straße ÎLE 3rd 12am a- --- 7-9 well-known - % 4,000 3/4 x+y f(2)=9 Ann O'Brien don't I A. "
+        "Dr. Dr.) 1e5 minutes ten Zwölf, ß 日本 ... 'Tis"
+    ).split()
+    texts = ["".join(rng.choice(vocab) + rng.choice([" ", "\n", "  ", "\t"]) for _ in range(rng.randrange(0, 60))) for _ in range(200)]
+    texts += ["", " \n", "--- ...", "Word " * 120_000, "y" * 600_000 + " Tail"]
+    codes = decontaminate.Codes.read(texts)
+    for form in decontaminate.FORMS:
+        meant = {}
+        for i, text in enumerate(texts):
+            exact = decontaminate.Sequence(read(decontaminate.words(text)), form).hashes.tolist()
+            arrays = codes.hashes[form][codes.text_of(form) == i].tolist()
+            assert len(exact) == len(arrays)
+            assert all(meant.setdefault(a, b) == b for a, b in zip(exact, arrays))
+        assert len(set(meant.values())) == len(meant)
+    assert [decontaminate.is_odd(t) for t in ("Straße É", "ΟΔΟΣ", "١٢", "İstanbul", "ǅ")] == [False, True, True, True, True]
+
+
+def test_parts_of_words_and_lines_of_few_words(spark, make_docs):
+    items = [(1, "x=3,y=4 find x+y now please"), (2, "Compute 5!"), (3, "no no no no no no no no no no no"), (4, "Why?")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, "so x=5,y=9 find x+y now please ok"), (2, "first\nCompute 5!\nlast"), (3, "we Compute 5! here"), (4, "compute 6!"), (5, items[2][1]),
+        (6, items[2][1] + " no"), (7, "why"), (8, "x=5,y=5 find x+y now please"), (9, "why not\n\n  WHY ?!\n" * 2),
+    ]
+    got = {r.doc_id: [(m.item_id, m.start, m.n_words) for m in r.matches] for r in decontaminate.match_benchmark(make_docs(rows), bench).collect()}
+    assert got == {1: [(1, 1, 5)], 2: [(2, 1, 2)], 3: [], 4: [], 5: [(3, 0, 11)], 6: [(3, 0, 11), (3, 1, 11)], 7: [(4, 0, 1)], 8: [], 9: []}
+
+
+def test_a_second_run_that_overlaps_keeps_its_head(spark, make_docs):
+    item = "a 5 b c d e f g h 6 i j k l m n 5 o p q r s t u v"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = decontaminate.match_benchmark(make_docs([(1, item.replace("5", "8", 1))]), bench).first().matches
+    assert [(m.start, m.n_words, m.changed) for m in out] == [(0, 16, 1), (2, 23, 0)]
+
+
+def naive_matches(doc, item, window=8, literals=5):
+    """Whether any window of strong words agrees, with its slots, in the plain or named form: every pair of places tried."""
+    read = decontaminate.Canonical()
+    for form in ("plain", "named"):
+        d, b = (decontaminate.Sequence(read(decontaminate.words(t)), form) for t in (doc, item))
+        for i in range(len(b) - window + 1):
+            if len({int(h) for k, h in enumerate(b.hashes[i : i + window]) if not b.slot(i + k)}) < literals:
+                continue
+            for j in range(len(d) - window + 1):
+                if (d.hashes[j : j + window] == b.hashes[i : i + window]).all():
+                    there, back = {}, {}
+                    pairs = [(b.slot(i + k), d.slot(j + k)) for k in range(window) if b.slot(i + k)]
+                    if all(there.setdefault(y, x) == x and back.setdefault(x, y) == y for y, x in pairs):
+                        return True
+    return False
+
+
+def test_documents_found_equal_the_naive_search(spark, make_docs):
+    rng = random.Random(8)
+    vocab = "Red stones 5 7 9 Ann Bo the of river runs under bridge kg metres seven and old sea 3kg".split()
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(14))) for i in range(25)]
+    docs = []
+    for i in range(120):
+        own = [rng.choice(vocab) for _ in range(20)]
+        if i % 2:
+            head = rng.randrange(0, 5)
+            part = items[i % 25][1].split()[head : head + 9]
+            own[4:4] = [{"5": "9", "7": "5", "Ann": "Bo"}.get(w, w) if i % 3 else w for w in part]
+        docs.append((i, " ".join(own)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, m.item_id) for r in decontaminate.match_benchmark(make_docs(docs), bench).collect() for m in r.matches}
+    naive = {(d, b) for d, t in docs for b, x in items if naive_matches(t, x)}
+    assert naive <= got
+    few = {b for b, x in items if decontaminate.Index.build([(b, x)], 8, 5).tables.keys() & {(f, 8, w) for f in decontaminate.FORMS for w in (True,)} or ("raw", 8, False) in decontaminate.Index.build([(b, x)], 8, 5).tables}
+    assert all(b in few for d, b in got - naive)  # what is found besides are items with windows of few literal words
