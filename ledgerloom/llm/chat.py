@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 END, NEXT = "</s>", "<|>"
-_MANY = 64
+_MANY = 64  # spans that are cut as substrings, each in the time of the text before it
+_CHUNK = 128
 
 
 def escape(text: Column) -> Column:
@@ -69,20 +70,37 @@ def format_chats(
 
 
 def _spans(pieces: Column) -> Column:
-    """Running offsets, kept for the learnt pieces only."""
-    kind = "array<struct<start:int,length:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), kind).alias("spans"))
-
-    def step(acc: Column, p: Column) -> Column:
-        body = F.length(p["body"])
-        begin = acc["at"] + F.length(p["open"])
-        span = F.struct(begin.alias("start"), body.alias("length"))
-        return F.struct(
-            (begin + body + F.length(p["close"])).alias("at"),
-            F.when(p["learn"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-        )
+    """Running offsets, kept for the learnt pieces only; by chunks of pieces, as a list that grows piece by piece is copied each time."""
+
+    def length(p: Column) -> Column:
+        return F.length(p["open"]) + F.length(p["body"]) + F.length(p["close"])
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda at, p: at + length(p))
+
+    def spans(part: Column, begin: Column) -> Column:
+        start = F.struct(begin.alias("at"), F.from_json(F.lit("[]"), "array<struct<start:int,length:int>>").alias("spans"))
+
+        def step(acc: Column, p: Column) -> Column:
+            span = F.struct((acc["at"] + F.length(p["open"])).alias("start"), F.length(p["body"]).alias("length"))
+            kept = F.when(p["learn"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+            return F.struct((acc["at"] + length(p)).alias("at"), kept.alias("spans"))
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["spans"])
+        return F.aggregate(part, start, step, lambda acc: acc["spans"])
+
+    def of_chunks(chunks: Column, sums: Column) -> Column:
+        before = lambda c: F.aggregate(F.slice(sums, F.lit(1), c), F.lit(0), lambda at, n: at + n)
+        return F.flatten(F.transform(chunks, lambda part, c: spans(part, before(c))))
+
+    def bound(value: Column, use) -> Column:
+        """An expression computed once for all its uses in lambdas."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def cut(all_pieces: Column) -> Column:
+        last = F.floor((F.size(all_pieces) - 1) / F.lit(_CHUNK)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(all_pieces, c * _CHUNK + 1, F.lit(_CHUNK)))
+
+    return bound(pieces, lambda p: bound(cut(p), lambda chunks: bound(F.transform(chunks, total), lambda sums: of_chunks(chunks, sums))))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -102,10 +120,13 @@ def read_turns(formatted: Column) -> Column:
 def read_learnt(formatted: Column, spans: Column) -> Column:
     """The texts under the loss mask, unescaped, in order.
 
-    Few spans are cut as substrings; many by slicing the code points once split, so that the work stays in proportion
-    to the conversation.
+    Few spans are cut as substrings; many by slicing the code points, split once for all spans, so that the work stays in
+    proportion to the conversation.
     """
     direct = F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"])))
-    points = F.split(formatted, "")
-    sliced = F.transform(spans, lambda s: unescape(F.array_join(F.slice(points, s["start"] + 1, s["length"]), "")))
-    return F.when(F.size(spans) <= _MANY, direct).otherwise(sliced)
+    # bound by a lambda of its own, as an expression inside the inner one would be evaluated for each span
+    sliced = F.transform(
+        F.array(F.split(formatted, "")),
+        lambda points: F.transform(spans, lambda s: unescape(F.array_join(F.slice(points, s["start"] + 1, s["length"]), ""))),
+    )
+    return F.when(F.size(spans) <= _MANY, direct).otherwise(F.get(sliced, F.lit(0)))
