@@ -4,7 +4,8 @@ A document of a source is taken target / source size times on average: a whole n
 the source get, and a fraction that is rounded to 0 or 1 dependently. Two documents with fractions p, q and sizes s, t
 move words between each other: the sum p s + q t stays, one of both fractions becomes 0 or 1, and which way it goes is
 drawn so that expectations stay. A leaf of documents leaves at most one with a fraction; those meet in the next level
-of a reduction tree, so that each source misses its target by less than one document.
+of a reduction tree. What the last unit of a source leaves is moved into short ones, so that each source misses its target by less
+than a few of its shortest documents.
 """
 
 from __future__ import annotations
@@ -13,13 +14,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import cut, mix
 
 #: A table of sources up to so many rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_SOURCES = 20_000
+#: Units of each order of size and decision of a source that may take up what the last rounding leaves.
+SWAPS = 64
 _ROUNDED = "source_no int, bucket long, key long, size long, words double, extra int"
 
 
@@ -115,30 +118,85 @@ def mix_sources(
         n = max(1, -(-r["units"] // leaf_rows))
         buckets = max(buckets, n)
         rates.append((no, r["source"], r["size"], wanted[r["source"]], int(rate), rate - int(rate), n))
-    table = spark.createDataFrame(rates, "source_no int, of string, source_size long, target double, whole int, part double, leaves int")
+    table = spark.createDataFrame(rates, "__no int, __of string, source_size long, target double, __whole int, __part double, __leaves int")
     table = F.broadcast(table) if len(rates) <= BROADCAST_SOURCES else table
     state = (
-        units.join(table, F.col("source").eqNullSafe(F.col("of")))
-        .where("size > 0 and part > 0")
+        units.join(table, F.col("source").eqNullSafe(F.col("__of")))
+        .where("size > 0 and __part > 0")
         .select(
-            "source_no", F.pmod(F.xxhash64("key"), F.col("leaves")).cast("long").alias("bucket"), "key", "size",
-            (F.col("size") * F.col("part")).alias("words"), F.lit(-1).alias("extra"),
+            F.col("__no").alias("source_no"), F.pmod(F.xxhash64("key"), F.col("__leaves")).cast("long").alias("bucket"), "key", "size",
+            (F.col("size") * F.col("__part")).alias("words"), F.lit(-1).alias("extra"),
         )
     )
     rounded, level = None, 0
     while True:
         last = buckets == 1
         done = cut(state.groupBy("source_no", "bucket").applyInPandas(_rounder(level, seed, last), _ROUNDED))
-        ready = done.where("extra >= 0").select("source_no", "key", "extra")
+        ready = done.where("extra >= 0").select("source_no", "key", "size", "extra")
         rounded = ready if rounded is None else rounded.union(ready)
         if last:
             break
         level, buckets = level + 1, -(-buckets // fan_in)
         state = done.where("extra < 0").withColumn("bucket", F.floor(F.col("bucket") / fan_in).cast("long"))
-    placed = own.join(table, F.col(source).cast("string").eqNullSafe(F.col("of")))
-    rounded = rounded.select(F.col("source_no").alias("__no"), F.col("key").alias("__key"), "extra")
-    out = placed.join(rounded, (F.col("source_no") == F.col("__no")) & F.col(key).eqNullSafe(F.col("__key")), "left")
-    copies: Column = F.col("whole") + F.coalesce("extra", F.lit(0))
+    placed = own.join(table, F.col(source).cast("string").eqNullSafe(F.col("__of")))
+    rounded = _settled(rounded, table).select(F.col("source_no").alias("__rounded_no"), F.col("key").alias("__key"), F.col("extra").alias("__extra"))
+    out = placed.join(rounded, (F.col("__no") == F.col("__rounded_no")) & F.col(key).eqNullSafe(F.col("__key")), "left")
+    copies: Column = F.col("__whole") + F.coalesce("__extra", F.lit(0))
     return out.withColumns({"copies": copies, "taken": copies * F.col("__size")}).drop(
-        "source_no", "of", "whole", "part", "leaves", "__no", "__key", "extra", "__size"
+        "__no", "__of", "__whole", "__part", "__leaves", "__rounded_no", "__key", "__extra", "__size"
     )
+
+
+def _settled(rounded: DataFrame, table: DataFrame) -> DataFrame:
+    """The decisions with what a source still misses its target by moved into its small units.
+
+    The last unit of a source to be rounded may be a long document. The words it adds or lacks are made up by turning the decisions of
+    other units, a few of each order of size, in one task for each source.
+    """
+    got = rounded.groupBy("source_no").agg(F.sum(F.col("extra") * F.col("size")).alias("got"))
+    gap = table.join(got, F.col("__no") == F.col("source_no")).select(
+        F.col("source_no").alias("gap_no"), (F.col("source_size") * F.col("__part") - F.col("got")).alias("gap")
+    )
+    open_ = rounded.join(gap, F.col("source_no") == F.col("gap_no")).where("abs(gap) >= 1")
+    order = Window.partitionBy("source_no", "extra", F.length(F.bin("size"))).orderBy("size", "key")
+    few = open_.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SWAPS)
+    few = few.select("source_no", "key", "size", "extra", "gap")
+    turned = few.groupBy("source_no").applyInPandas(_turned, "turned_no int, turned_key long")
+    same = (F.col("source_no") == F.col("turned_no")) & F.col("key").eqNullSafe(F.col("turned_key"))
+    return rounded.join(turned, same, "left").withColumn("extra", F.when(F.col("turned_no").isNotNull(), 1 - F.col("extra")).otherwise(F.col("extra")))
+
+
+def turns(size: list[int], extra: list[int], gap: float) -> list[int]:
+    """Which decisions to turn, so that the words taken grow by about gap; each at most once.
+
+    The longest unit that fits goes first. Where none fits, the shortest that goes beyond the gap may be turned if units of the other kind
+    can bring the sum back. What came nearest to the gap counts.
+    """
+    free = [sorted((i for i in range(len(size)) if extra[i] == e), key=lambda i: (size[i], i)) for e in (0, 1)]
+    turned: list[int] = []
+    best, best_at = abs(gap), 0
+    while abs(gap) >= 1:
+        side = 0 if gap > 0 else 1
+        fits = [i for i in free[side] if size[i] <= abs(gap)]
+        if fits:
+            pick = fits[-1]
+        else:
+            beyond = next((i for i in free[side] if size[i] > abs(gap)), None)
+            if beyond is None:
+                break
+            over = size[beyond] - abs(gap)
+            if sum(size[i] for i in free[1 - side] if size[i] <= over) < over - best:
+                break
+            pick = beyond
+        free[side].remove(pick)
+        turned.append(pick)
+        gap += -size[pick] if side == 0 else size[pick]
+        if abs(gap) < best:
+            best, best_at = abs(gap), len(turned)
+    return turned[:best_at]
+
+
+def _turned(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values(["size", "key", "extra"], kind="stable")
+    picked = frame.iloc[turns(frame["size"].tolist(), frame["extra"].tolist(), float(frame["gap"].iloc[0]))]
+    return pd.DataFrame({"turned_no": picked["source_no"], "turned_key": picked["key"]})

@@ -172,3 +172,25 @@ def test_isotonic_levels():
     assert list(levels) == [0.0, 0.5, 0.75, 1.0]
 
 
+
+
+def test_mixing_comes_near_its_targets_and_keeps_clashing_columns(make_docs):
+    rng = random.Random(21)
+    rows = [(i, prose(rng, rng.choice([3, 5, 40, 300]) if i % 50 else 6000), f"s{i % 7}") for i in range(700)]
+    docs = make_docs(rows).withColumns({"size": F.size(F.split("text", " ")).cast("long"), "key": F.xxhash64("doc_id", "text")})
+    own = ["whole", "extra", "of", "leaves", "part", "source_no", "bucket", "words", "gap", "units"]
+    mixed = mixing.mix_sources(docs.withColumns({c: F.lit(c) for c in own}), leaf_rows=20)
+    assert all(mixed.where(F.col(c) == c).count() == len(rows) for c in own)
+    got = mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("copies").alias("most")).collect()
+    assert len(got) == 7 and all(abs(r.taken - r.target) <= 12 and r.most <= 2 for r in got)
+    again = mixing.mix_sources(docs.repartition(5), leaf_rows=20)
+    assert {(r.doc_id, r.copies) for r in again.collect()} == {(r.doc_id, r.copies) for r in mixed.collect()}
+
+
+def test_long_conversations_read_back(spark):
+    n = 5000
+    turns = [(1, i, ["user", "assistant"][i % 3 > 0], f"turn <|{i}|> </s> é" * (i % 4)) for i in range(n)]
+    made = chat.format_chats(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    out = made.select("*", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_learnt(F.col("formatted"), F.col("loss_spans")).alias("learnt")).first()
+    assert [(t.role, t.text) for t in out.turns] == [t[2:] for t in turns]
+    assert out.learnt == [t[3] for t in turns if t[2] == "assistant"]
