@@ -255,8 +255,9 @@ def remove_repeats(
     window lose nothing. Other columns are ignored; an empty table gives an empty result.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    # rows without id share d, so what belongs to a row is found by d and h1
-    base = base.withColumns({"d": F.coalesce("doc_id", F.lit(_FIRST)), "h1": F.xxhash64("text")})
+    # rows without id share d, so what belongs to a row is found by d and h1; the two joins with the texts take the same columns, so that
+    # Spark exchanges them once
+    base = base.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("d"), F.xxhash64("text").alias("h1"), F.col("doc_id").isNull().alias("no_id"), "text")
     described = base.select("d", "h1", F.xxhash64(F.lit("again"), "text").alias("h2"), "text").mapInPandas(_spots(window, gram), "d long, h1 long, h2 long, n_words int, anchors array<long>, places array<int>")
     spots = cut(described.where(F.col("n_words") >= window))
     first = spots.groupBy("h1", "h2").agg(F.min("d").alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
@@ -270,7 +271,7 @@ def remove_repeats(
         .agg(F.collect_set(F.struct("anchor", "places")).alias("x")).select("d", "h1", F.col("x.anchor").alias("known"), F.col("x.places").alias("places"))
     )
     pieces = (
-        base.join(wanted, ["d", "h1"]).select("d", "h1", "text", "known", "places")
+        base.join(wanted, ["d", "h1"]).select("d", "h1", "no_id", "text", "known", "places")
         .sortWithinPartitions("d", "h1")
         .mapInPandas(_pieces(window, gram, many), _ROW)
     )
@@ -280,7 +281,7 @@ def remove_repeats(
     flags = matched.union(copies).groupBy("d", "h1").agg(F.collect_set(F.struct("start", "windows")).alias("flags"))
     return (
         base.join(flags, ["d", "h1"], "left")
-        .select("d", F.col("doc_id").isNull().alias("no_id"), "text", "flags")
+        .select("d", "no_id", "text", "flags")
         .mapInPandas(_kept(window), "d long, no_id boolean, n_words long, n_removed long, kept_text string")
         .select(F.expr("if(no_id, null, d)").alias("doc_id"), "n_words", "n_removed", "kept_text")
     )
