@@ -4,7 +4,7 @@ Each word is predicted from the words on both sides of it, itself masked, and a
 logarithms of these conditional probabilities. Word counts of the whole corpus, summed by Spark, fix the outputs: the
 most frequent words, and classes of the others by hash. A word of a class has its class's probability times its own share of
 the counts of that class. Counts of the next most frequent words are broadcast, those of all others stay a Spark table and are joined. The network
-(a vector per word and position, their sum, tanh, softmax) is trained in numpy inside tasks: each task runs gradient
+(a vector per word and position, their sum, tanh, a softmax over groups of outputs and one inside the group) is trained in numpy inside tasks: each task runs gradient
 steps over the documents of its partition, and the means of their weights begin the next round.
 """
 
@@ -21,28 +21,32 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import batches, cut, signed, text_batches, word_hashes
 
-#: Words of a table whose documents are all trained on in every round; those of a larger one are dealt to the rounds.
-EVERY_ROUND = 1_000_000
-FREQUENT, CLASSES, SIDE, WIDTH = 384, 128, 3, 24
+#: Words with an output each at most, classes of all others, words on each side, and size of the vectors.
+FREQUENT, CLASSES, SIDE, WIDTH = 1920, 128, 3, 24
+#: Outputs of a group: a word costs one softmax over the groups and one over its own.
+GROUP = 64
 #: Words, at most, whose counts are broadcast; counts of the others are joined.
 KNOWN = 1 << 20
-_CHUNK = 1024
+#: Bits of a broadcast filter of the words to be joined; what it lets through by chance finds no count.
+FILTER_BITS = 26
+_CHUNK = 16384
+_STEP = 8192  # words of a gradient step
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Hashes of the frequent words, sorted, the log of each class's count and of each output's share, and counts of known words.
+    """Hashes of the frequent words, sorted, their ranks by count, the log of each class's count, each output's share, and counts of known words.
 
     known has all words met at least `least` times, sorted, and log_known the logs of their counts.
     """
 
     frequent: np.ndarray
+    rank: np.ndarray
     log_class: np.ndarray
-    log_share: np.ndarray
+    share: np.ndarray
     known: np.ndarray
     log_known: np.ndarray
     least: int
-    total: int
 
     @property
     def size(self) -> int:
@@ -53,7 +57,7 @@ class Vocabulary:
         if not len(self.frequent):
             return other
         at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == hashes, at, other)
+        return np.where(self.frequent[at] == hashes, self.rank[at], other)
 
     def log_counts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The log of each word's count, 0 where it is not known, and whether it is."""
@@ -63,6 +67,12 @@ class Vocabulary:
         there = self.known[at] == hashes
         return np.where(there, self.log_known[at], 0.0), there
 
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids and log_counts, found once for each different word."""
+        words, at = np.unique(hashes, return_inverse=True)
+        logs, there = self.log_counts(words)
+        return self.ids(words)[at], logs[at], there[at]
+
 
 def count_words(docs: DataFrame, text: str) -> DataFrame:
     """(word, n): counts of all words of all documents by hash; summed inside tasks before the shuffle."""
@@ -81,18 +91,31 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     return cut(docs.select(F.col(text).alias("t")).mapInPandas(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
 
+def _packed(*columns: str):
+    """Columns of 64-bit numbers as bytes, one row for each frame."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({c: [frame[c].to_numpy(dtype=np.int64).tobytes()] for c in columns})
+
+    return run
+
+
 def vocabulary(docs: DataFrame, text: str, counts: DataFrame | None = None) -> Vocabulary:
     counts = count_words(docs, text) if counts is None else counts
-    top = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()}
-    frequent = np.sort(np.array(list(top), dtype=np.int64).view(np.uint64))
+    top = [(r["word"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
+    hashes = np.array([w for w, _ in top], dtype=np.int64).view(np.uint64)
+    rank = np.argsort(hashes)
+    share = np.ones(FREQUENT + CLASSES)
+    share[: len(top)] += [n for _, n in top]
     # the unsigned hash modulo a power of two is its last bits
     of_class = F.col("word").bitwiseAND(F.lit(CLASSES - 1)).alias("c")
-    members = counts.where(~F.col("word").isin(list(top))).groupBy(of_class).agg(F.sum("n").alias("n")).collect()
-    of_classes, share = np.ones(CLASSES), np.ones(FREQUENT + CLASSES)
-    share[: len(frequent)] += [top[w] for w in signed(frequent).tolist()]
-    for r in members:
+    of_classes = np.zeros(CLASSES, dtype=np.int64)
+    for r in counts.groupBy(of_class).agg(F.sum("n").alias("n")).collect():
         of_classes[r["c"]] = r["n"]
-        share[FREQUENT + r["c"]] += r["n"]
+    for word, n in top:
+        of_classes[word & (CLASSES - 1)] -= n
+    share[FREQUENT:] += of_classes
     words, least = 0, None
     for r in counts.where("n > 1").groupBy("n").count().orderBy(F.desc("n")).collect():
         words += r["count"]
@@ -102,68 +125,116 @@ def vocabulary(docs: DataFrame, text: str, counts: DataFrame | None = None) -> V
     else:
         least = 2  # a word met once has log 0 and need not be known
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"word": [frame["word"].to_numpy().tobytes()], "n": [frame["n"].to_numpy().tobytes()]})
-
-    known = counts.where(F.col("n") >= (least or 1 << 62)).mapInPandas(pack, "word binary, n binary").collect()
-    hashes = np.frombuffer(b"".join(r["word"] for r in known), dtype=np.uint64)
+    known = counts.where(F.col("n") >= (least or 1 << 62)).mapInPandas(_packed("word", "n"), "word binary, n binary").collect()
+    known_words = np.frombuffer(b"".join(r["word"] for r in known), dtype=np.uint64)
     met = np.frombuffer(b"".join(r["n"] for r in known), dtype=np.int64)
-    order = np.argsort(hashes)
+    order = np.argsort(known_words)
     log_known = np.log(met.astype(np.float64))[order]
-    return Vocabulary(frequent, np.log(of_classes), np.log(share / share.sum()), hashes[order], log_known, least or 1 << 62, int(share.sum()) - len(share))
+    return Vocabulary(hashes[rank], rank, np.log(np.maximum(of_classes, 1)), share / share.sum(), known_words[order], log_known, least or 1 << 62)
+
+
+def _shares(vectors: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Softmax of each row of h, as a column: sums down columns run along rows of memory."""
+    p = vectors.T @ h.T
+    p += bias[:, None]
+    p -= p.max(axis=0)
+    np.exp(p, out=p)
+    p /= p.sum(axis=0)
+    return p
+
+
+def _log_share(vectors: np.ndarray, bias: np.ndarray, h: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The log of the softmax of each row of h at one place."""
+    logits = vectors.T @ h.T
+    logits += bias[:, None]
+    logits -= logits.max(axis=0)
+    at = logits[own, np.arange(len(own))].astype(np.float64)
+    return at - np.log(np.exp(logits, out=logits).sum(axis=0))
+
+
+def _by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each group met, and its rows."""
+    order = np.argsort(groups.astype(np.int16), kind="stable")
+    edges = np.concatenate(([0], np.cumsum(np.bincount(groups)))) if len(groups) else [0]
+    for g, (a, b) in enumerate(zip(edges, edges[1:])):
+        if b > a:
+            yield g, order[a:b]
 
 
 class Network:
-    """inputs[p, w]: vector of word w at position p of the window, the last row standing for no word; outputs and biases by word."""
+    """inputs[p, w]: vector of word w at position p of the window, the last row standing for no word; gates: vectors and biases of groups of
+    outputs; outputs: of the words of each group."""
 
-    def __init__(self, inputs: np.ndarray, outputs: np.ndarray, bias: np.ndarray):
-        self.inputs, self.outputs, self.bias = inputs, outputs, bias
+    def __init__(self, inputs: np.ndarray, gates: np.ndarray, gate_bias: np.ndarray, outputs: np.ndarray, bias: np.ndarray):
+        self.inputs, self.gates, self.gate_bias, self.outputs, self.bias = inputs, gates, gate_bias, outputs, bias
 
     @staticmethod
     def start(words: Vocabulary, seed: int = 8) -> "Network":
         """Small random vectors, and biases that give each output its share in the corpus."""
-        size = words.size
+        size, groups = words.size, words.size // GROUP
         rng = np.random.default_rng(seed)
-        inputs = rng.normal(scale=0.1, size=(2 * SIDE, size + 1, WIDTH)).astype(np.float32)
-        return Network(inputs, rng.normal(scale=0.1, size=(WIDTH, size)).astype(np.float32), words.log_share.astype(np.float32))
+        share = words.share.reshape(groups, GROUP)
+        of_group = share.sum(axis=1)
+
+        def vectors(*shape: int) -> np.ndarray:
+            return rng.normal(scale=0.1, size=shape).astype(np.float32)
+
+        biases = np.log(of_group).astype(np.float32), np.log(share / of_group[:, None]).astype(np.float32)
+        return Network(vectors(2 * SIDE, size + 1, WIDTH), vectors(WIDTH, groups), biases[0], vectors(groups, WIDTH, GROUP), biases[1])
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.inputs, self.gates, self.gate_bias, self.outputs, self.bias]
 
     def weights(self) -> np.ndarray:
-        return np.concatenate([self.inputs.ravel(), self.outputs.ravel(), self.bias])
+        return np.concatenate([x.ravel() for x in self.parts()])
 
     def load(self, flat: np.ndarray) -> "Network":
-        a, b = self.inputs.size, self.outputs.size
-        return Network(flat[:a].reshape(self.inputs.shape).copy(), flat[a : a + b].reshape(self.outputs.shape).copy(), flat[a + b :].copy())
+        cuts = np.split(flat, np.cumsum([x.size for x in self.parts()])[:-1])
+        return Network(*[x.reshape(own.shape).copy() for x, own in zip(cuts, self.parts())])
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         total = self.inputs[0][context[:, 0]]
         for p in range(1, 2 * SIDE):
-            total = total + self.inputs[p][context[:, p]]
-        return np.tanh(total)
+            total += self.inputs[p][context[:, p]]
+        return np.tanh(total, out=total)
+
+    def double(self) -> "Network":
+        """The same with outputs in double precision, in which a word's place in a batch doesn't show in its rounded score."""
+        return Network(self.inputs, *[x.astype(np.float64) for x in self.parts()[1:]])
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        logits = self.hidden(context) @ self.outputs
-        logits += self.bias
-        top = max(0.0, float(logits.max()) - 60.0) if len(logits) else 0.0  # keeps exp() in range; no row lies 100 below another
-        own = logits[np.arange(len(target)), target] - top
-        logits -= np.float32(top)
-        return own - np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64))
+        h = self.hidden(context).astype(self.gates.dtype)
+        groups = target // GROUP
+        out = _log_share(self.gates, self.gate_bias, h, groups)
+        for g, rows in _by_group(groups):
+            out[rows] += _log_share(self.outputs[g], self.bias[g], h[rows], target[rows] % GROUP)
+        return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
+        """One gradient step; what few rows say of a group or of a word moves it less."""
         h = self.hidden(context)
-        logits = h @ self.outputs + self.bias
-        p = np.exp(logits - logits.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(target)), target] -= 1
-        back = (p @ self.outputs.T) * (1 - h * h) * np.float32(rate)
-        p *= np.float32(rate / len(target) * 16)
-        self.outputs -= h.T @ p
-        self.bias -= p.sum(axis=0)
+        groups = target // GROUP
+        p = _shares(self.gates, self.gate_bias, h)
+        p[groups, np.arange(len(target))] -= 1
+        back = p.T @ self.gates.T
+        p *= np.float32(rate / len(target))
+        self.gates -= h.T @ p.T
+        self.gate_bias -= p.sum(axis=1)
+        for g, rows in _by_group(groups):
+            own = h[rows]
+            p = _shares(self.outputs[g], self.bias[g], own)
+            p[target[rows] % GROUP, np.arange(len(rows))] -= 1
+            back[rows] += p.T @ self.outputs[g].T
+            p *= np.float32(rate / (len(rows) + 32))
+            self.outputs[g] -= own.T @ p.T
+            self.bias[g] -= p.sum(axis=1)
+        back *= 1 - h * h
         for side in range(2 * SIDE):
-            order = np.argsort(context[:, side], kind="stable")
+            order = np.argsort(context[:, side].astype(np.int16), kind="stable")
             words = context[order, side]
             first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-            self.inputs[side][words[first]] -= np.add.reduceat(back[order], first, axis=0) * np.float32(0.2)
+            times = np.diff(first, append=len(words))
+            self.inputs[side][words[first]] -= np.add.reduceat(back[order], first, axis=0) * (rate / (times + 4)).astype(np.float32)[:, None]
 
 
 def windows(ids: np.ndarray, offsets: np.ndarray, none: int) -> np.ndarray:
@@ -180,16 +251,15 @@ def windows(ids: np.ndarray, offsets: np.ndarray, none: int) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, text: str, doc_id: str, words: Vocabulary, rounds: int = 3, rate: float = 0.5, slices: int = 16) -> Network:
+def train(docs: DataFrame, text: str, doc_id: str, words: Vocabulary, rounds: int = 3, rate: float = 2.0, slices: int = 16) -> Network:
     """Rounds of gradient steps over all documents, in place in the partitions of docs.
 
-    A large table is dealt to the rounds by hash of id and text, so each document trains once. A partition sends how far its weights, of fixed size,
+    Documents are dealt to the rounds by hash of id and text, so each trains once. A partition sends how far its weights, of fixed size,
     moved, times the words that moved them: for a vector of a word at a position those met there, else all. Sums by slice
     come to the driver. Weights depend on how docs is dealt to partitions.
     """
     spark = docs.sparkSession
-    folds = rounds if words.total > EVERY_ROUND else 1
-    own = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t"), F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(folds)).alias("fold"))
+    own = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t"), F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(rounds)).alias("fold"))
     network = Network.start(words)
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((network, words))
@@ -199,17 +269,17 @@ def train(docs: DataFrame, text: str, doc_id: str, words: Vocabulary, rounds: in
             own, n, met = start.load(start.weights()), 0, np.zeros((2 * SIDE, known.size + 1), dtype=np.int64)
             for frame in batches(frames, 256):
                 hashes, offsets = word_hashes(frame["t"], lower=True)
-                ids = known.ids(hashes)
+                ids = known.look_up(hashes)[0]
                 context = windows(ids, offsets, known.size)
                 order = np.random.default_rng((turn, len(ids))).permutation(len(ids))
-                for at in range(0, len(order), 256):
-                    rows = order[at : at + 256]
-                    own.step(context[rows], ids[rows], rate / (1 + turn) / 16)
+                for at in range(0, len(order), _STEP):
+                    rows = order[at : at + _STEP]
+                    own.step(context[rows], ids[rows], rate / (1 + turn))
                 for k in range(2 * SIDE):
                     met[k] += np.bincount(context[:, k], minlength=known.size + 1)
                 n += len(ids)
             if n:
-                each = np.concatenate([np.repeat(met.ravel(), WIDTH), np.full(own.outputs.size + own.bias.size, n)])
+                each = np.concatenate([np.repeat(met.ravel(), WIDTH), np.full(len(own.weights()) - own.inputs.size, n)])
                 moved = np.concatenate([(own.weights() - start.weights()) * each, met.ravel(), [n]]).astype(np.float32)
                 part = TaskContext.get().partitionId()
                 yield pd.DataFrame([(k, part, x.tobytes()) for k, x in enumerate(np.array_split(moved, slices))], columns=["slice", "part", "moved"])
@@ -219,14 +289,14 @@ def train(docs: DataFrame, text: str, doc_id: str, words: Vocabulary, rounds: in
             total = sum(np.frombuffer(x, dtype=np.float32).astype(np.float64) for x in frame["moved"])
             return pd.DataFrame({"slice": frame["slice"].iloc[:1], "moved": [total.tobytes()]})
 
-        learnt = own.where(F.col("fold") == turn % folds).mapInPandas(learn, "slice int, part int, moved binary")
+        learnt = own.where(F.col("fold") == turn).mapInPandas(learn, "slice int, part int, moved binary")
         got = sorted(learnt.groupBy("slice").applyInPandas(add, "slice int, moved binary").collect())
         if not got:
             continue
         total = np.concatenate([np.frombuffer(r["moved"], dtype=np.float64) for r in got])
         flat, met = network.weights(), 2 * SIDE * (words.size + 1)
         moved, met, n = total[: len(flat)], total[len(flat) : len(flat) + met], total[-1]
-        each = np.concatenate([np.repeat(met, WIDTH), np.full(network.outputs.size + network.bias.size, n)])
+        each = np.concatenate([np.repeat(met, WIDTH), np.full(len(flat) - network.inputs.size, n)])
         network = network.load((flat + moved / np.maximum(each, 1)).astype(np.float32))
     return network
 
@@ -234,13 +304,13 @@ def train(docs: DataFrame, text: str, doc_id: str, words: Vocabulary, rounds: in
 def score_texts(texts: pd.Series, network: Network, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Number of words and sum of log probabilities of each text; words that are not known count as met once."""
     hashes, offsets = word_hashes(texts, lower=True)
-    ids = words.ids(hashes)
+    ids, logs, _ = words.look_up(hashes)
     context = windows(ids, offsets, words.size)
     each = np.empty(len(ids))
     for at in range(0, len(ids), _CHUNK):
         each[at : at + _CHUNK] = network.log_probabilities(context[at : at + _CHUNK], ids[at : at + _CHUNK])
     rare = ids >= FREQUENT
-    each[rare] += words.log_counts(hashes[rare])[0] - words.log_class[ids[rare] - FREQUENT]
+    each[rare] += logs[rare] - words.log_class[ids[rare] - FREQUENT]
     sums = np.concatenate([[0.0], np.cumsum(each)])
     return np.diff(offsets), np.round(sums[offsets[1:]] - sums[offsets[:-1]], 6)
 
@@ -248,21 +318,34 @@ def score_texts(texts: pd.Series, network: Network, words: Vocabulary) -> tuple[
 def unknown_counts(docs: DataFrame, text: str, words: Vocabulary, counts: DataFrame) -> DataFrame:
     """(h1, h2, unknown): by hash of text, what the counts of words that are not known add to its score, in units of 1e-9.
 
-    No such word is met more than words.least times, so none is hot. Equal texts send their words once per task.
+    No such word is met more than words.least times, so none is hot. Words met once add nothing, and a filter of fixed size keeps nearly
+    all of them from being sent.
     """
+    rest = counts.where((F.col("n") > 1) & (F.col("n") < words.least))
+    bit = F.col("word").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    sixty_four = rest.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(word & 63 as int)))").alias("bits"))
+    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    for r in sixty_four.mapInPandas(_packed("at", "bits"), "at binary, bits binary").collect():
+        bits[np.frombuffer(r["at"], dtype=np.int64)] = np.frombuffer(r["bits"], dtype=np.int64)
 
     def tail(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames, 256):
             hashes, offsets = word_hashes(frame["t"], lower=True)
-            at = np.repeat(np.arange(len(frame)), np.diff(offsets))
-            wanted = (words_of.value.ids(hashes) >= FREQUENT) & ~words_of.value.log_counts(hashes)[1]
-            met = pd.DataFrame({"at": at[wanted], "word": signed(hashes[wanted])}).groupby(["at", "word"], sort=False).size().reset_index(name="times")
-            own = met["at"].to_numpy()
-            yield pd.DataFrame({"h1": frame["h1"].to_numpy()[own], "h2": frame["h2"].to_numpy()[own], "word": met["word"], "times": met["times"]})
-
-    words_of = docs.sparkSession.sparkContext.broadcast(words)
-    own = docs.select(F.col(text).alias("t"), *text_hashes(text)).mapInPandas(tail, "h1 long, h2 long, word long, times long").distinct()
-    rest = counts.where((F.col("n") > 1) & (F.col("n") < words.least))
+            ids, _, there = words_of.value.look_up(hashes)
+            place = (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+            may_count = bits_of.value[place >> 6] >> (place & 63) & 1 == 1
+            wanted = np.flatnonzero((ids >= FREQUENT) & ~there & may_count)
+            at, word = np.repeat(np.arange(len(frame)), np.diff(offsets))[wanted], hashes[wanted]
+            order = np.lexsort((word, at))
+            at, word = at[order], word[order]
+            first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (word[1:] != word[:-1])))[: len(at)])
+            own = at[first]
+            times = np.diff(first, append=len(at))
+            yield pd.DataFrame({"h1": frame["h1"].to_numpy()[own], "h2": frame["h2"].to_numpy()[own], "word": signed(word[first]), "times": times})
+
+    words_of, bits_of = (docs.sparkSession.sparkContext.broadcast(x) for x in (words, bits))
+    own = docs.select(F.col(text).alias("t"), *text_hashes(text)).mapInPandas(tail, "h1 long, h2 long, word long, times long")
+    own = own.repartition("word").distinct()  # dealt by word for the join too
     return own.join(rest, "word").groupBy("h1", "h2").agg(F.sum(F.round(F.col("times") * F.ln("n") * 1e9).cast("long")).alias("unknown"))
 
 
@@ -279,7 +362,7 @@ def score_pseudo_likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str =
     text_batches(docs.sparkSession)
     counts = count_words(docs, text)
     words = vocabulary(docs, text, counts)
-    model = docs.sparkSession.sparkContext.broadcast((train(docs, text, doc_id, words), words))
+    model = docs.sparkSession.sparkContext.broadcast((train(docs, text, doc_id, words).double(), words))
 
     @F.pandas_udf("struct<n_words:long,score:double>")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import decontaminate, pseudo_likelihood, shingle_join, substring_dedup, token_counts
-from ledgerloom.llm.common import components, word_hashes
+from ledgerloom.llm.common import components, signed, word_hashes
 
 from .conftest import prose
 
@@ -225,12 +225,15 @@ def test_decontamination_in_shards(spark, make_docs, monkeypatch):
 def test_pseudo_likelihood_is_a_sum_over_words(make_docs):
     rng = random.Random(2)
     rows = [(i, " ".join(f"w{min(rng.randrange(30), rng.randrange(30))}" for _ in range(rng.randrange(1, 60)))) for i in range(80)]
+    rows += [(100 + i, " ".join(f"x{k}" for k in range(i * 50, i * 50 + 80))) for i in range(60)]  # more words than outputs
     rows += [(90, None), (91, ""), (92, rows[0][1]), (None, rows[0][1])]
     docs = make_docs(rows)
     out = {r.doc_id: r for r in pseudo_likelihood.score_pseudo_likelihood(docs.withColumn("score", F.lit(1))).collect()}
     words = pseudo_likelihood.vocabulary(docs, "text")
     network = pseudo_likelihood.train(docs, "text", "doc_id", words)
-    for i, text in rows[:20]:
+    counts = {signed(np.array([w], dtype=np.uint64))[0]: n for w, n in zip(*np.unique(word_hashes([t for _, t in rows], lower=True)[0], return_counts=True))}
+    classed = 0
+    for i, text in rows[:20] + rows[80:90]:
         hashes, offsets = word_hashes([text], lower=True)
         ids = words.ids(hashes)
         total = 0.0
@@ -239,14 +242,20 @@ def test_pseudo_likelihood_is_a_sum_over_words(make_docs):
             for k, shift in enumerate([-3, -2, -1, 1, 2, 3]):
                 there = at + shift
                 hidden += network.inputs[k][ids[there] if 0 <= there < len(ids) else words.size]
-            logits = np.tanh(hidden) @ network.outputs + network.bias
-            total += logits[ids[at]] - np.log(np.exp(logits).sum())
-            total -= words.log_members[ids[at] - pseudo_likelihood.FREQUENT] if ids[at] >= pseudo_likelihood.FREQUENT else 0
+            group, own = divmod(ids[at], pseudo_likelihood.GROUP)
+            for weights, bias, k in ((network.gates, network.gate_bias, group), (network.outputs[group], network.bias[group], own)):
+                logits = np.tanh(hidden) @ weights + bias
+                total += logits[k] - np.log(np.exp(logits).sum())
+            if ids[at] >= pseudo_likelihood.FREQUENT:
+                classed += 1
+                total += np.log(counts[signed(hashes[at : at + 1])[0]]) - words.log_class[ids[at] - pseudo_likelihood.FREQUENT]
         assert out[i].n_words == len(ids) and abs(out[i].score - total) < 1e-2
+    assert classed
     assert (out[90].n_words, out[90].score, out[90].mean_score) == (0, 0.0, None)
     assert out[92].score == out[0].score == out[None].score
-    shuffled = np.mean([r.mean_score for r in out.values() if r.n_words > 10])
-    assert shuffled > -np.log(60)
+    met = np.array(sorted(counts.values()))
+    entropy = -(met / met.sum() * np.log(met / met.sum())).sum()
+    assert sum(r.score for r in out.values()) / sum(r.n_words for r in out.values()) > -1.1 * entropy
     assert pseudo_likelihood.score_pseudo_likelihood(make_docs([])).count() == 0
 
 
@@ -274,9 +283,7 @@ def test_words_of_a_class_have_their_own_counts(make_docs, monkeypatch, known):
     assert len(out) == len(rows) and out[200].score == out[None].score == out[70].score
 
 
-@pytest.mark.parametrize("every_round", [1_000_000, 0])
-def test_all_documents_train(make_docs, monkeypatch, every_round):
-    monkeypatch.setattr(pseudo_likelihood, "EVERY_ROUND", every_round, raising=False)
+def test_all_documents_train(make_docs):
     docs = make_docs([(i, f"a r{i} r{i} b" if i < 300 else "a b") for i in range(6000)])
     words = pseudo_likelihood.vocabulary(docs, "text")
     network = pseudo_likelihood.train(docs, "text", "doc_id", words)
