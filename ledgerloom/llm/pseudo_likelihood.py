@@ -149,7 +149,8 @@ def _log_share(vectors: np.ndarray, bias: np.ndarray, h: np.ndarray, own: np.nda
     logits += bias[:, None]
     logits -= logits.max(axis=0)
     at = logits[own, np.arange(len(own))].astype(np.float64)
-    return at - np.log(np.exp(logits, out=logits).sum(axis=0))
+    shares = logits.astype(np.float32)
+    return at - np.log(np.exp(shares, out=shares).sum(axis=0, dtype=np.float64))
 
 
 def _by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -199,7 +200,7 @@ class Network:
         return np.tanh(total, out=total)
 
     def double(self) -> "Network":
-        """The same with outputs in double precision, in which a word's place in a batch doesn't show in its rounded score."""
+        """The same with outputs in double precision, with which a word's place in a batch doesn't show in its rounded score."""
         return Network(self.inputs, *[x.astype(np.float64) for x in self.parts()[1:]])
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -242,7 +243,7 @@ def windows(ids: np.ndarray, offsets: np.ndarray, none: int) -> np.ndarray:
     n = len(ids)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     first, last = offsets[:-1][doc], offsets[1:][doc]
-    out = np.full((n, 2 * SIDE), none, dtype=np.int64)
+    out = np.full((n, 2 * SIDE), none, dtype=np.int16)
     at = np.arange(n)
     for k, shift in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         there = at + shift
