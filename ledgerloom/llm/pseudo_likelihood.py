@@ -133,11 +133,17 @@ def vocabulary(docs: DataFrame, text: str, counts: DataFrame | None = None) -> V
     return Vocabulary(hashes[rank], rank, np.log(np.maximum(of_classes, 1)), share / share.sum(), known_words[order], log_known, least or 1 << 62)
 
 
+def _logits(vectors: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Logits of each row of h less their largest, as a column: sums down columns run along rows of memory."""
+    logits = vectors.T @ h.T
+    logits += bias[:, None]
+    logits -= logits.max(axis=0)
+    return logits
+
+
 def _shares(vectors: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Softmax of each row of h, as a column: sums down columns run along rows of memory."""
-    p = vectors.T @ h.T
-    p += bias[:, None]
-    p -= p.max(axis=0)
+    """Softmax of each row of h, as a column."""
+    p = _logits(vectors, bias, h)
     np.exp(p, out=p)
     p /= p.sum(axis=0)
     return p
@@ -145,21 +151,17 @@ def _shares(vectors: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _log_share(vectors: np.ndarray, bias: np.ndarray, h: np.ndarray, own: np.ndarray) -> np.ndarray:
     """The log of the softmax of each row of h at one place."""
-    logits = vectors.T @ h.T
-    logits += bias[:, None]
-    logits -= logits.max(axis=0)
-    at = logits[own, np.arange(len(own))].astype(np.float64)
+    logits = _logits(vectors, bias, h)
     shares = logits.astype(np.float32)
-    return at - np.log(np.exp(shares, out=shares).sum(axis=0, dtype=np.float64))
+    sums = np.exp(shares, out=shares).sum(axis=0, dtype=np.float64)
+    return logits[own, np.arange(len(own))] - np.log(sums)
 
 
-def _by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each group met, and its rows."""
-    order = np.argsort(groups.astype(np.int16), kind="stable")
-    edges = np.concatenate(([0], np.cumsum(np.bincount(groups)))) if len(groups) else [0]
-    for g, (a, b) in enumerate(zip(edges, edges[1:])):
-        if b > a:
-            yield g, order[a:b]
+def _by_group(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order in which the words of a group stand together, and each group met with its stretch of that order."""
+    groups = (target // GROUP).astype(np.int16)
+    edges = np.concatenate(([0], np.cumsum(np.bincount(groups)))).tolist()
+    return np.argsort(groups, kind="stable"), [(g, slice(a, b)) for g, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
 
 
 class Network:
@@ -194,9 +196,10 @@ class Network:
         return Network(*[x.reshape(own.shape).copy() for x, own in zip(cuts, self.parts())])
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.inputs[0][context[:, 0]]
+        total = self.inputs[0].take(context[0], axis=0)
+        row = np.empty_like(total)
         for p in range(1, 2 * SIDE):
-            total += self.inputs[p][context[:, p]]
+            total += self.inputs[p].take(context[p], axis=0, out=row, mode="clip")
         return np.tanh(total, out=total)
 
     def double(self) -> "Network":
@@ -204,51 +207,56 @@ class Network:
         return Network(self.inputs, *[x.astype(np.float64) for x in self.parts()[1:]])
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h = self.hidden(context).astype(self.gates.dtype)
-        groups = target // GROUP
-        out = _log_share(self.gates, self.gate_bias, h, groups)
-        for g, rows in _by_group(groups):
-            out[rows] += _log_share(self.outputs[g], self.bias[g], h[rows], target[rows] % GROUP)
+        order, stretches = _by_group(target)
+        h, target = self.hidden(context[:, order]).astype(self.gates.dtype), target[order]
+        logs = _log_share(self.gates, self.gate_bias, h, target // GROUP)
+        for g, own in stretches:
+            logs[own] += _log_share(self.outputs[g], self.bias[g], h[own], target[own] % GROUP)
+        out = np.empty_like(logs)
+        out[order] = logs
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One gradient step; what few rows say of a group or of a word moves it less."""
+        order, stretches = _by_group(target)
+        context, target = context[:, order], target[order]
         h = self.hidden(context)
-        groups = target // GROUP
         p = _shares(self.gates, self.gate_bias, h)
-        p[groups, np.arange(len(target))] -= 1
+        p[target // GROUP, np.arange(len(target))] -= 1
         back = p.T @ self.gates.T
         p *= np.float32(rate / len(target))
         self.gates -= h.T @ p.T
         self.gate_bias -= p.sum(axis=1)
-        for g, rows in _by_group(groups):
-            own = h[rows]
+        for g, rows in stretches:
+            own, words = h[rows], target[rows] % GROUP
             p = _shares(self.outputs[g], self.bias[g], own)
-            p[target[rows] % GROUP, np.arange(len(rows))] -= 1
+            p[words, np.arange(len(words))] -= 1
             back[rows] += p.T @ self.outputs[g].T
-            p *= np.float32(rate / (len(rows) + 32))
+            p *= np.float32(rate / (len(words) + 32))
             self.outputs[g] -= own.T @ p.T
             self.bias[g] -= p.sum(axis=1)
         back *= 1 - h * h
+        # each component of a vector is a bin, so sums need no order of the words
+        weights, bins = back.ravel().astype(np.float64), np.arange(WIDTH)
         for side in range(2 * SIDE):
-            order = np.argsort(context[:, side].astype(np.int16), kind="stable")
-            words = context[order, side]
-            first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-            times = np.diff(first, append=len(words))
-            self.inputs[side][words[first]] -= np.add.reduceat(back[order], first, axis=0) * (rate / (times + 4)).astype(np.float32)[:, None]
+            vectors = self.inputs[side]
+            words = context[side].astype(np.int64)
+            moved = np.bincount((words[:, None] * WIDTH + bins).ravel(), weights, vectors.size).reshape(vectors.shape)
+            moved *= (rate / (np.bincount(words, minlength=len(vectors)) + 4))[:, None]
+            vectors -= moved.astype(np.float32)
 
 
 def windows(ids: np.ndarray, offsets: np.ndarray, none: int) -> np.ndarray:
-    """For each word the ids of SIDE words before and after it in its document, `none` where there is no word."""
+    """For each word, a column of the ids of SIDE words before and after it in its document, `none` where there is no word."""
     n = len(ids)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     first, last = offsets[:-1][doc], offsets[1:][doc]
-    out = np.full((n, 2 * SIDE), none, dtype=np.int16)
+    out = np.full((2 * SIDE, n), none, dtype=np.int16)
     at = np.arange(n)
     for k, shift in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         there = at + shift
         ok = (there >= first) & (there < last)
-        out[ok, k] = ids[there[ok]]
+        out[k, ok] = ids[there[ok]]
     return out
 
 
@@ -275,9 +283,9 @@ def train(docs: DataFrame, text: str, doc_id: str, words: Vocabulary, rounds: in
                 order = np.random.default_rng((turn, len(ids))).permutation(len(ids))
                 for at in range(0, len(order), _STEP):
                     rows = order[at : at + _STEP]
-                    own.step(context[rows], ids[rows], rate / (1 + turn))
+                    own.step(context[:, rows], ids[rows], rate / (1 + turn))
                 for k in range(2 * SIDE):
-                    met[k] += np.bincount(context[:, k], minlength=known.size + 1)
+                    met[k] += np.bincount(context[k], minlength=known.size + 1)
                 n += len(ids)
             if n:
                 each = np.concatenate([np.repeat(met.ravel(), WIDTH), np.full(len(own.weights()) - own.inputs.size, n)])
@@ -309,7 +317,7 @@ def score_texts(texts: pd.Series, network: Network, words: Vocabulary) -> tuple[
     context = windows(ids, offsets, words.size)
     each = np.empty(len(ids))
     for at in range(0, len(ids), _CHUNK):
-        each[at : at + _CHUNK] = network.log_probabilities(context[at : at + _CHUNK], ids[at : at + _CHUNK])
+        each[at : at + _CHUNK] = network.log_probabilities(context[:, at : at + _CHUNK], ids[at : at + _CHUNK])
     rare = ids >= FREQUENT
     each[rare] += logs[rare] - words.log_class[ids[rare] - FREQUENT]
     sums = np.concatenate([[0.0], np.cumsum(each)])
