@@ -10,7 +10,7 @@ from ledgerloom.functions.keys import ci_equals, ci_in
 from ledgerloom.operators.aggregates import sum_by
 from ledgerloom.queries.registry import query
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import scans, sinks
+from ledgerloom.sources import deliveries, files, scans, sinks
 from ledgerloom.sources.roles import BANK_MID
 
 c = F.col
@@ -50,6 +50,30 @@ def scan_file_exact(r):
     )
 
 
+DELIVERED = "company STRING, row_type STRING, processing_currency STRING, processing_amount DECIMAL(15,2)"
+
+
+@query("scan_delivery_files", """
+SELECT make_date(year(processing_date), 12, 31) AS business_date, company, row_type, processing_currency, count(*) AS n,
+  sum(processing_amount) AS amount
+FROM x_lines WHERE processing_date IS NOT NULL GROUP BY 1, 2, 3, 4""",
+       money="amount", dates="business_date")
+def scan_delivery_files(r):
+    """The report arrives once a year, in files named by the day after; all are read."""
+    folder = scratch_path(r.spark, "deliveries")
+    first, last = r.report_lines.agg(F.year(F.min("processing_date")), F.year(F.max("processing_date"))).first()
+    for year in range(first, last + 1) if first else ():
+        rows = scans.scan_date_range(r.report_lines, "processing_date", between=(dt.date(year, 1, 1), dt.date(year, 12, 31)))
+        named = f"{year + 1}0101_settlement"
+        deliveries.write_delivery(rows.select("company", "row_type", "processing_currency", "processing_amount"), folder, named)
+    files.make_folder(r.spark, folder)
+    files.remove_at_exit(r.spark, folder)
+    rows = scans.scan_file_prefix(deliveries.read_deliveries(r.spark, folder, DELIVERED))
+    return rows.groupBy("business_date", "company", "row_type", "processing_currency").agg(
+        F.count("*").alias("n"), F.sum("processing_amount").alias("amount")
+    )
+
+
 @query("scan_business_day", """
 SELECT CASE WHEN event_type = 'purchase' THEN CAST(ts + INTERVAL 3 HOUR AS DATE) ELSE CAST(ts AS DATE) END AS business_date,
   event_type, count(*) AS n, sum(CAST(value AS DECIMAL(15,2))) AS amount

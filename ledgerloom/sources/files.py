@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(there)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """A folder that is there, empty if it was not before."""
+    fs, there = _at(spark, path)
+    fs.mkdirs(there)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a file, or a folder with all it holds; nothing happens where there is none."""
     fs, there = _at(spark, path)
