@@ -15,6 +15,7 @@ from ledgerloom.operators import relational as L
 from ledgerloom.operators import reports as RP
 from ledgerloom.plans.journals import settlement_summary
 from ledgerloom.queries.registry import query
+from ledgerloom.sources.buckets import bucketed_id_lookup, store_bucketed, store_ids
 
 c = F.col
 
@@ -186,14 +187,28 @@ def join_account_matrix(r):
     return rows.select("order_key", "by_three", "by_two", "deposit")
 
 
-@query("join_txn_id_lookup", """
+#: Buckets of the stored tables of the test data; a warehouse takes as many as its largest table has files of some hundred MB.
+ID_BUCKETS = 8
+
+TXN_ID_SQL = """
 SELECT l.order_key, coalesce(t.transaction_id, '') AS processor_txn_id FROM x_raw AS l
-LEFT JOIN (SELECT DISTINCT transaction_id FROM x_lines) AS t ON l.invoice_id = t.transaction_id""")
+LEFT JOIN (SELECT DISTINCT transaction_id FROM x_lines) AS t ON l.invoice_id = t.transaction_id"""
+
+
+@query("join_txn_id_lookup", TXN_ID_SQL)
 def join_txn_id_lookup(r):
     out = JN.processor_id_lookup(r.ledger_raw.select("order_key", "invoice_id"), r.report_lines, "invoice_id", "transaction_id")
     return out.select("order_key", "processor_txn_id")
 
 
+@query("join_bucketed_lookup", TXN_ID_SQL)
+def join_bucketed_lookup(r):
+    """The same over tables stored in buckets of the id."""
+    ledger = store_bucketed(r.ledger_raw.select("order_key", "invoice_id"), "ledger", "invoice_id", ID_BUCKETS)
+    ids = store_ids(r.report_lines, "report_ids", "transaction_id", ID_BUCKETS)
+    return bucketed_id_lookup(ledger, ids, "invoice_id").select("order_key", "processor_txn_id")
+
+
 PAIR = ["business_date", "company", "ledger_key", "proc_key", "ledger_currency", "proc_currency", "trans_usd", "proc_gross_usd"]
 PAIR_SQL = "SELECT " + ", ".join(PAIR) + " FROM "
 
