@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.keys import MONEY, ci_contains, ci_equals, ci_in, ci_key, col
+from ledgerloom.functions.keys import MONEY, ci_contains, ci_equals, ci_key, col
 
 
 def first_non_null(*columns: Column | str) -> Column:
@@ -60,6 +62,11 @@ def business_date(ts: Column | str, channel: Column | str, cutoff_channel: str,
 MANUAL_MARK = "MANUALTRANS"
 HOSTING_GROUPS = ["dedicated", "reseller", "shared", "vps", "builder"]
 ADD_ON_GROUPS = ["other", "addon"]
+GROUP_LINES = {
+    **{g.upper(): "Hosting" for g in HOSTING_GROUPS}, "SERVICES": "Professional Services",
+    **{g.upper(): "Add On" for g in ADD_ON_GROUPS}, "DOMAIN": "Domain",
+}
+REBILL_TYPES = {"NEW": "NEW", "RENEW": "REBILL"}
 DEPOSIT_TXN = "payment|cash deposit"
 DEPOSIT_LINE = "Cust Deposit"
 UST_COUNTRIES = ["US", "United States"]
@@ -67,38 +74,34 @@ GST_COUNTRIES = [
     "AU", "AUS", "Australia", "IN", "IND", "India", "JP", "JPN", "Japan", "NZ", "NZL", "New Zealand",
     "NO", "NOR", "Norway", "RU", "RUS", "Russian Federation", "CH", "CHE", "Switzerland", "TW", "TWN", "Taiwan",
 ]
+TAX_COUNTRIES = {**{x.upper(): "GST" for x in GST_COUNTRIES}, **{x.upper(): "UST" for x in UST_COUNTRIES}}
 CHANNEL_A = "Dlocal"
 CHANNEL_B = "Paypal"
 CHANNEL_C = "PayU"
 CREDIT = "Credit"
 
 
+def text_map(values: Mapping[str, str]) -> Column:
+    """A constant map: a key looked up in it is computed once, not once per rule."""
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
 def txn_type(transaction_type: Column | str, rebill: Column | str, txn_id: Column | str) -> Column:
     dispute = ci_equals(transaction_type, "chargeback")
     manual = ci_contains(txn_id, MANUAL_MARK)
-    return (
-        F.when(dispute & ~manual, "REFUND")
-        .when(dispute & manual, "CHARGEBACK")
-        .when(~dispute & ci_equals(rebill, "New"), "NEW")
-        .when(~dispute & ci_equals(rebill, "Renew"), "REBILL")
-        .otherwise("Rebill")
-    )
+    disputed = F.when(~manual, "REFUND").when(manual, "CHARGEBACK").otherwise("Rebill")
+    billed = F.coalesce(F.try_element_at(text_map(REBILL_TYPES), ci_key(rebill)), F.lit("Rebill"))
+    return F.when(dispute, disputed).when(~dispute, billed).otherwise("Rebill")
 
 
 def business_line(
     grouping: Column | str, processor: Column | str, transaction_type: Column | str, txn_id: Column | str
 ) -> Column:
     ungrouped = col(grouping).isNull()
-    return (
-        F.when(ci_in(grouping, HOSTING_GROUPS), "Hosting")
-        .when(ci_equals(grouping, "services"), "Professional Services")
-        .when(ci_in(grouping, ADD_ON_GROUPS), "Add On")
-        .when(ci_equals(grouping, "domain"), "Domain")
-        .when(ungrouped & col(processor).isNull() & (visible_length(txn_id) == 17) & has_letter(txn_id), DEPOSIT_LINE)
-        .when(ungrouped & ci_equals(transaction_type, DEPOSIT_TXN), DEPOSIT_LINE)
-        .when(ungrouped & ci_equals(processor, CREDIT), DEPOSIT_LINE)
-        .otherwise("Hosting")
-    )
+    known = F.try_element_at(text_map(GROUP_LINES), ci_key(grouping))
+    by_id = col(processor).isNull() & (visible_length(txn_id) == 17) & has_letter(txn_id)
+    paid_in = by_id | ci_equals(transaction_type, DEPOSIT_TXN) | ci_equals(processor, CREDIT)
+    return F.coalesce(known, F.when(ungrouped & paid_in, DEPOSIT_LINE).otherwise("Hosting"))
 
 
 def settled_by(
@@ -113,15 +116,15 @@ def settled_by(
     return (
         F.when(key == CHANNEL_B.upper(), CHANNEL_B)
         .when((key == CHANNEL_A.upper()) | ci_contains(txn_id, MANUAL_MARK), CHANNEL_A)
-        .when(key.isNull() | key.isin("NULL", CREDIT.upper()), col(processor))
+        .when(col(processor).isNull() | key.isin("NULL", CREDIT.upper()), col(processor))
         .when(home, CHANNEL_C)
-        .when(~home, CHANNEL_A)
+        .when(col(currency).isNotNull(), CHANNEL_A)
         .otherwise(col(processor))
     )
 
 
 def tax_type(country: Column | str) -> Column:
-    return F.when(ci_in(country, UST_COUNTRIES), "UST").when(ci_in(country, GST_COUNTRIES), "GST").otherwise("VAT")
+    return F.coalesce(F.try_element_at(text_map(TAX_COUNTRIES), ci_key(country)), F.lit("VAT"))
 
 
 def overpayment_flag(total: Column | str, invoice: Column | str, vat: Column | str) -> Column:

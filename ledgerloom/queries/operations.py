@@ -102,8 +102,9 @@ FROM (SELECT *, status = 'fail' AS failed,
         UNION ALL SELECT 'suspense', business_date, company, 'all', status FROM ({SUSPENSE_SQL}) AS s) AS g) AS h
 GROUP BY 1, 2""", dates="business_date")
 def control_gate_status(r):
-    lines = D.stage_lines(r.staged.all_lines, scratch_path(r.spark, "lines"))
-    return C.gate_status(C.gate_results(lines, required_days(r), card_days(r), J.SUSPENSE_ACCOUNT))
+    s = r.staged
+    lines = D.stage_lines(s.all_lines, scratch_path(r.spark, "lines"))
+    return C.gate_status(C.gate_results(lines, required_days(s), card_days(s), J.SUSPENSE_ACCOUNT))
 
 
 def required_days(r):
@@ -141,9 +142,10 @@ SELECT {CLOSE_LINE} FROM z_lines AS l LEFT JOIN z_fail AS f ON f.business_date =
        money="debit credit docamt")
 def daily_close(r):
     """Close all days twice into one common journal, from lines computed once; the second run replaces the first."""
-    common, lines = scratch_path(r.spark, "common"), D.stage_lines(r.staged.all_lines, scratch_path(r.spark, "lines"))
+    s = r.staged
+    common, lines = scratch_path(r.spark, "common"), D.stage_lines(s.all_lines, scratch_path(r.spark, "lines"))
     for _ in range(2):
-        D.close_days(lines, required_days(r), card_days(r), scratch_path(r.spark, "staged"), common)
+        D.close_days(lines, required_days(s), card_days(s), scratch_path(r.spark, "staged"), common)
     return read_back(r, common, D.COMMON).select(*COMMON_NAMES.split())
 
 

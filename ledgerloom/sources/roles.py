@@ -44,6 +44,15 @@ RUN_STAMP_LONG = "010120260930"
 BRAND_TABLES = ["SRC_AFRICA", "SRC_AMERICA", "SRC_ASIA", "SRC_EUROPE", "SRC_MIDDLE_EAST"]
 BRAND_MIDS = ["48500", "69100", "83700", "60700", "153400"]
 
+# What journals, reports and the statement read of the enriched ledger, and the reports of the statement.
+LEDGER_READ = (
+    "order_key", "company", "date", "ts", "total", "invoice_total", "vat_tax", "currency", "processor", "invoice_id", "txn_id", "o_orderstatus",
+    "fx_rate", "txn_type", "business_line", "settled_by", "tax_type", "trans_local", "revenue_local", "trans_usd", "tax_usd", "revenue_usd",
+)
+STATEMENT_READ = (
+    "order_key", "company", "date", "ts", "gross", "currency", "processor", "settled_by", "invoice_id", "txn_id", "o_orderstatus", "fx_rate",
+)
+
 
 def matrix_rows() -> list[tuple[str, str, str, str]]:
     """Accounts by company, type and line: one combination missing, one present twice."""
@@ -324,12 +333,13 @@ class Roles(StarTables):
     def staged(self) -> Roles:
         """The same roles, with what several journals read written once: the enriched ledger and the statement.
 
-        The written frames last as long as the process.
+        Only the columns read from there are written, and what fills no column is not computed. The written frames last
+        as long as the process.
         """
         part = Roles(self.spark, self.data_dir)
         part.rates, part.orders, part.lineitem = self.rates, self.orders, self.lineitem
-        part.ledger = stage(self.ledger, "ledger")
-        part.statement = stage(part.statement, "statement")
+        part.ledger = stage(self.ledger.select(*LEDGER_READ), "ledger")
+        part.statement = stage(part.statement.select(*STATEMENT_READ), "statement")
         return part
 
     # --- journals ----------------------------------------------------------

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from compare import compare, duck
@@ -11,7 +12,7 @@ import __spark_entry__ as entry
 from ledgerloom.operators import posting as P
 from ledgerloom.plans import daily_close as DC
 from ledgerloom.plans import journals as J
-from ledgerloom.session import scratch_path
+from ledgerloom.session import CODEGEN, scratch_path
 from ledgerloom.sources import sinks
 from ledgerloom.sources.roles import Roles
 
@@ -132,6 +133,29 @@ def test_no_python_and_no_cross_join_in_plans(spark):
         assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("key", ["control_gate_status", "daily_close"])
+def test_written_frames_are_read_instead_of_the_tables(spark, key, monkeypatch):
+    """Where several journals and gates read the ledger and the statement, none derives them from the tables again."""
+    from ledgerloom.operators import controls as C
+
+    seen, gates = [], C.gate_results
+    monkeypatch.setattr(C, "gate_results", lambda *frames, **named: seen.extend(f for f in frames if hasattr(f, "inputFiles")) or gates(*frames, **named))
+    seen.append(entry.queries()[key](spark, DATA))
+    files = [f for df in seen for f in df.inputFiles()]
+    assert files and not [f for f in files if f.endswith(("orders.parquet", "lineitem.parquet"))]
+
+
+def test_enrichment_is_one_compiled_stage(spark, roles, capsys):
+    """Above the limit, Spark evaluates the written ledger operator by operator, copying each row at every step."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        roles.ledger.select(*roles.staged.ledger.columns).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= int(CODEGEN["spark.sql.codegen.hugeMethodLimit"])
+
+
 def test_accounts_without_entry_get_the_default(roles):
     lines = roles.journal("a_sales").filter("table_name = 'revenue' AND distref LIKE 'LMX1 NEW Domain%'")
     assert {r.account for r in lines.select("account").collect()} <= {""}

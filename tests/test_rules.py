@@ -64,6 +64,34 @@ def test_settled_by(spark):
     assert all(a == b for a, b in got), got
 
 
+def test_rules_agree_with_their_plain_form(spark):
+    """Every pair of odd values, NULL, case and trailing blanks included, against the rules written out one by one."""
+    processors = [None, "", "NULL", "null ", "credit", "Credit ", "PayPal", "dlocal ", "PayU", "x"]
+    ids = [None, "", "manualTRANS1", "ABCDEFGHIJKLMNOPQ", "12345678901234567", "7"]
+    texts = [None, "", "ChargeBack ", "payment|CASH deposit", "New", "renew ", "Renewal", "Shared ", "services", "ADDON", "other", "domain", "vps"]
+    codes = [None, "", "mxn ", "MXN", "us", "United States ", "JPN", "in", "BR"]
+    rows = spark.createDataFrame([(v,) for v in processors], "p string").join(spark.createDataFrame([(v,) for v in ids], "i string"))
+    rows = rows.join(spark.createDataFrame([(v,) for v in texts], "t string")).join(spark.createDataFrame([(v,) for v in texts], "g string"))
+    rows = rows.join(spark.createDataFrame([(v,) for v in codes], "c string"))
+    k = {x: f"upper(rtrim({x}))" for x in "pitgc"}
+    gst, ust = (", ".join(f"'{x.upper()}'" for x in v) for v in (S.GST_COUNTRIES, S.UST_COUNTRIES))
+    dispute, manual = f"{k['t']} = 'CHARGEBACK'", "contains(upper(i), 'MANUALTRANS')"
+    plain = {
+        "txn_type": f"CASE WHEN {dispute} AND NOT {manual} THEN 'REFUND' WHEN {dispute} AND {manual} THEN 'CHARGEBACK' "
+                    f"WHEN NOT {dispute} AND {k['g']} = 'NEW' THEN 'NEW' WHEN NOT {dispute} AND {k['g']} = 'RENEW' THEN 'REBILL' ELSE 'Rebill' END",
+        "line": f"CASE WHEN {k['g']} IN ('DEDICATED', 'RESELLER', 'SHARED', 'VPS', 'BUILDER') THEN 'Hosting' WHEN {k['g']} = 'SERVICES' THEN 'Professional Services' "
+                f"WHEN {k['g']} IN ('OTHER', 'ADDON') THEN 'Add On' WHEN {k['g']} = 'DOMAIN' THEN 'Domain' "
+                "WHEN g IS NULL AND p IS NULL AND length(rtrim(i)) = 17 AND i RLIKE '(?i)[a-z]' THEN 'Cust Deposit' "
+                f"WHEN g IS NULL AND {k['t']} = 'PAYMENT|CASH DEPOSIT' THEN 'Cust Deposit' WHEN g IS NULL AND {k['p']} = 'CREDIT' THEN 'Cust Deposit' ELSE 'Hosting' END",
+        "settled": f"CASE WHEN {k['p']} = 'PAYPAL' THEN 'Paypal' WHEN {k['p']} = 'DLOCAL' OR {manual} THEN 'Dlocal' WHEN {k['p']} IS NULL OR {k['p']} IN ('NULL', 'CREDIT') THEN p "
+                   f"WHEN {k['c']} = 'MXN' THEN 'PayU' WHEN NOT {k['c']} = 'MXN' THEN 'Dlocal' ELSE p END",
+        "tax": f"CASE WHEN {k['c']} IN ({ust}) THEN 'UST' WHEN {k['c']} IN ({gst}) THEN 'GST' ELSE 'VAT' END",
+    }
+    own = {"txn_type": S.txn_type("t", "g", "i"), "line": S.business_line("g", "p", "t", "i"), "settled": S.settled_by("p", "i", "c"), "tax": S.tax_type("c")}
+    wrong = rows.select("*", *[(~own[n].eqNullSafe(F.expr(sql))).alias(n) for n, sql in plain.items()])
+    assert wrong.filter("txn_type OR line OR settled OR tax").head(3) == []
+
+
 def test_business_day_cutoff(spark):
     rows = [
         ("Dlocal", "2021-01-04 20:59:59", dt.date(2021, 1, 4)),
