@@ -213,7 +213,8 @@ DOC = "business_date company account distref docamt distype"
     for n, t, receipt in (("a_sales", "a", "NULL"), ("wallet", "b", "cashrcpt"), ("card", "c", "cashrcpt"), ("a_cash", "cash", "cashrcpt"))),
        money="docamt", dates="business_date")
 def journal_docamt_distype(r):
-    parts = {n: r.journal(n).withColumn("journal", F.lit(n)) for n in ("a_sales", "wallet", "card", "a_cash")}
+    s = r.staged
+    parts = {n: s.journal(n).withColumn("journal", F.lit(n)) for n in ("a_sales", "wallet", "card", "a_cash")}
     parts["a_sales"] = parts["a_sales"].withColumn("cashrcpt", F.lit(None).cast("string"))
     return union([df.select("journal", *DOC.split(), "cashrcpt") for df in parts.values()])
 

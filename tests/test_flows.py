@@ -133,7 +133,7 @@ def test_no_python_and_no_cross_join_in_plans(spark):
         assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("key", ["control_gate_status", "daily_close"])
+@pytest.mark.parametrize("key", ["journal_docamt_distype", "control_gate_status", "daily_close"])
 def test_written_frames_are_read_instead_of_the_tables(spark, key, monkeypatch):
     """Where several journals and gates read the ledger and the statement, none derives them from the tables again."""
     from ledgerloom.operators import controls as C
